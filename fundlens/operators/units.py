@@ -128,7 +128,7 @@ class Grammar:
         unit, sign, seen = Unit(), 1, False
         while self._at < len(toks) and toks[self._at] != ")":
             tok = toks[self._at]
-            if tok in ("*", "·"):
+            if tok in ("*", "·", "of", "de"):
                 self._at += 1
                 continue
             if tok in ("/", "per"):
