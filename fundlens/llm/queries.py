@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens.core.tables import bounded_collect, load, materialize
-from fundlens.llm import canon, linkage, truth
+from fundlens.llm import canon, langid, linkage, truth
 from fundlens.operators import units
 
 
@@ -69,6 +69,26 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_links(spark, sf_dir).select("row_id", "list_id")
 
 
+def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text and paragraph with its language, confidence, and what the label said."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    langs = [(r["lang"], r["iso3"], r["lang_name"]) for r in bounded_collect(load(spark, sf_dir, "ref_langs"), 1000, "languages") if r["lang"]]
+    labelled = docs.withColumn("label_lang", langid.label_language(F.col("lang"), langs))
+    protos = langid.prototypes(labelled, "text", "label_lang", "doc_id")
+    return langid.segments(docs, protos).join(labelled.select("doc_id", "label_lang"), "doc_id")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seg = p10_segments(spark, sf_dir)
+    per_doc = seg.groupBy("doc_id").agg(
+        F.max(F.when(F.col("para_no") == 0, F.col("lang"))).alias("__whole"),
+        F.first("label_lang").alias("__label"),
+        (F.min(F.when(F.col("para_no") > 0, F.col("lang"))) != F.max(F.when(F.col("para_no") > 0, F.col("lang")))).alias("__mixed"),
+    )
+    cases = per_doc.where("__whole IS NOT NULL AND (__mixed OR __label IS NULL OR __label <> __whole)").select("doc_id", "__mixed")
+    return seg.join(cases, "doc_id").where("para_no = 0 OR __mixed").select("doc_id", "para_no", "lang")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_golden": p1_golden,
@@ -76,4 +96,6 @@ QUERIES = {
     "p6_mapped": p6_mapped,
     "p7_found": p7_found,
     "p7_links": p7_links,
+    "p10_found": p10_found,
+    "p10_segments": p10_segments,
 }
