@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from fundlens.core.tables import bounded_collect
 
-DIMENSIONS = 1024
+DIMENSIONS = 4096
 NGRAM = 3
 SEED = 20_011
 #: Labelled texts per language that the prototypes are bundled from: a bounded sample, chosen by hash.
@@ -36,17 +36,19 @@ for _k, _c in enumerate(ALPHABET):
     _CODE[ord(_c)] = _k
 
 
-def fold(text: str) -> str:
+def fold(text: str, ignore: re.Pattern | None = None) -> str:
     """Unescaped, lower case, in Latin letters without accents, references and numbers: what a language is read from."""
     t = html.unescape(text).casefold()
     t = _MARKS.sub(" ", _SCANNED.sub(lambda m: "l" if m[0] == "1" else "o", t))
+    if ignore:
+        t = ignore.sub(" ", t)
     t = "".join(LATIN.get(c, c) for c in t)
     return "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
 
 
-def ngram_codes(text: str, n: int = NGRAM) -> np.ndarray:
+def ngram_codes(text: str, n: int = NGRAM, ignore: re.Pattern | None = None) -> np.ndarray:
     """Codes of the letter n-grams inside and across words; none for a text without letters."""
-    points = np.frombuffer(fold(text).encode("utf-32-le"), dtype=np.uint32)
+    points = np.frombuffer(fold(text, ignore).encode("utf-32-le"), dtype=np.uint32)
     codes = _CODE[np.where(points < len(_CODE), points, 32)]
     if not codes.any():
         return np.zeros(0, dtype=np.int64)
@@ -64,31 +66,57 @@ class Space:
 
     def __init__(self, dimensions: int = DIMENSIONS, n: int = NGRAM, seed: int = SEED):
         rng = np.random.default_rng(seed)
-        self.n, self.letters = n, rng.choice(np.array([-1, 1], dtype=np.int8), (len(ALPHABET), dimensions))
-        self.rolled = [np.roll(self.letters, k, axis=1) for k in range(n)]
+        self.n, self.dimensions = n, dimensions
+        letters = rng.choice(np.array([-1, 1], dtype=np.int8), (len(ALPHABET), dimensions))
+        self.rolled = [np.roll(letters, k, axis=1) for k in range(n)]
 
     def vectors(self, codes: np.ndarray) -> np.ndarray:
         """One row of products per n-gram code."""
-        out = np.ones((len(codes), self.letters.shape[1]), dtype=np.int8)
+        out = np.ones((len(codes), self.dimensions), dtype=np.int8)
         rest = codes.copy()
         for k in reversed(range(self.n)):
             out *= self.rolled[k][rest % len(ALPHABET)]
             rest //= len(ALPHABET)
         return out.astype(np.float32)
 
-    def bundles(self, texts: list[np.ndarray], chunk: int = 256) -> np.ndarray:
-        """One bundle per array of n-gram codes; distinct n-grams of a chunk are bound once."""
-        out = np.zeros((len(texts), self.letters.shape[1]), dtype=np.float32)
-        for a in range(0, len(texts), chunk):
-            part = texts[a : a + chunk]
-            sizes = [len(t) for t in part]
-            if not sum(sizes):
-                continue
-            seen, inverse = np.unique(np.concatenate(part), return_inverse=True)
-            counts = np.zeros((len(part), len(seen)), dtype=np.float32)
-            np.add.at(counts, (np.repeat(np.arange(len(part)), sizes), inverse), 1)
-            for b in range(0, len(seen), 4096):
-                out[a : a + chunk] += counts[:, b : b + 4096] @ self.vectors(seen[b : b + 4096])
+
+class Profiles:
+    """Language prototypes, and the dot product of every n-gram vector with every prototype.
+
+    A bundle is a weighted sum of n-gram vectors, so its dot product with a prototype is the same sum of
+    the n-grams' products; with these in a table, a text costs a look-up per n-gram.  Its length follows
+    from the n-gram vectors being nearly orthogonal.  The weight of an n-gram is how unevenly the languages
+    use it: one minus the normalised entropy over languages; names in every language's texts weigh little.
+    """
+
+    def __init__(self, langs: list[str], bundled: np.ndarray, present: np.ndarray, space: Space):
+        """``bundled``: per language the sum of the texts' unit-length n-gram counts; ``present``: share of
+        its texts that hold the n-gram."""
+        self.langs = langs
+        p = present + 1e-3
+        p = p / p.sum(axis=0)
+        entropy = -(p * np.log(p)).sum(axis=0) / max(np.log(len(langs)), 1e-9)
+        self.weight = np.clip(1 - entropy, 0, 1).astype(np.float32) if len(langs) > 1 else np.ones(p.shape[1], dtype=np.float32)
+        self.dimensions = space.dimensions
+        protos = np.zeros((len(langs), space.dimensions), dtype=np.float32)
+        used = np.flatnonzero(bundled.any(axis=0))
+        for a in range(0, len(used), 2048):
+            part = used[a : a + 2048]
+            protos += (bundled[:, part] * self.weight[part]).astype(np.float32) @ space.vectors(part)
+        protos /= np.linalg.norm(protos, axis=1, keepdims=True) + 1e-9
+        self.product = np.zeros((bundled.shape[1], len(langs)), dtype=np.float32)
+        for a in range(0, bundled.shape[1], 2048):
+            part = np.arange(a, min(a + 2048, bundled.shape[1]))
+            self.product[part] = self.weight[part, None] * (space.vectors(part) @ protos.T)
+
+    def cosines(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Cosine of every text (an array of n-gram codes) with every prototype."""
+        out = np.zeros((len(texts), len(self.langs)), dtype=np.float32)
+        for k, codes in enumerate(texts):
+            if len(codes):
+                seen, n = np.unique(codes, return_counts=True)
+                length = np.sqrt(self.dimensions * ((n * self.weight[seen]) ** 2).sum())
+                out[k] = (n[:, None] * self.product[seen]).sum(axis=0) / max(length, 1e-6)
         return out
 
 
@@ -104,91 +132,79 @@ def label_language(label: Column, langs: list[tuple[str, str, str]]) -> Column:
     return out
 
 
-def prototypes(labelled: DataFrame, text: str, lang: str, key: str, space_args: tuple = ()) -> dict[str, np.ndarray]:
-    """One unit vector per language from a bounded, hash-chosen sample of labelled texts.
+def train(labelled: DataFrame, text: str, lang: str, key: str) -> Profiles | None:
+    """Profiles from a bounded, hash-chosen sample of labelled texts; None without labelled texts.
 
-    The sample's share per language follows from its count, so it has about ``SAMPLE_PER_LANGUAGE`` texts at
-    any size of the data.  Tasks return one partial bundle per language; the driver adds them up.  A second
-    round leaves out the sampled texts that the first prototypes assign to another language.
+    The sample's share per language follows from its count, so it has about ``SAMPLE_PER_LANGUAGE`` whole
+    texts at any size of the data.  The cluster sums n-gram counts per language - at most languages x
+    n-grams numbers - and the driver binds and bundles them.  A second round leaves out the sampled texts
+    that the first profiles assign to another language: some labels are wrong.
     """
     counts = {r[lang]: r["count"] for r in bounded_collect(labelled.where(F.col(lang).isNotNull()).groupBy(lang).count(), 1000, "languages")}
     if not counts:
-        return {}
+        return None
     share = F.lit(0.0)
     for code, n in counts.items():
         share = F.when(F.col(lang) == code, F.lit(min(1.0, SAMPLE_PER_LANGUAGE / n))).otherwise(share)
     chosen = F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(1_000_000)) < share * 1_000_000
     sample = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & chosen).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    codes, width = sorted(counts), Space(*space_args).letters.shape[1]
+    langs, width = sorted(counts), len(ALPHABET) ** NGRAM
 
-    def partial(first: dict[str, np.ndarray] | None):
+    def partial(first: Profiles | None):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            space = Space(*space_args)
-            sums = {c: np.zeros(space.letters.shape[1], dtype=np.float64) for c in codes}
+            sums = {c: np.zeros((2, width)) for c in langs}
+            texts = dict.fromkeys(langs, 0)
             for b in batches:
-                v = space.bundles([ngram_codes(t) for t in b["text"]])
-                cos = cosines(v, np.stack(list(first.values()))) if first else None
-                norms = np.linalg.norm(v, axis=1, keepdims=True)
-                v = np.divide(v, norms, out=np.zeros_like(v), where=norms > 0)
-                keep = np.ones(len(b), dtype=bool)
-                if first:
-                    guess = np.array(list(first))[np.argmax(cos, axis=1)]
-                    keep = guess == b["lang"].to_numpy()
-                for c in codes:
-                    rows = (b["lang"] == c).to_numpy() & keep
-                    if rows.any():
-                        sums[c] += v[rows].sum(axis=0)
-            yield pd.DataFrame({"lang": list(sums), "v": [s.tolist() for s in sums.values()]})
+                codes = [ngram_codes(t) for t in b["text"]]
+                guess = first.cosines(codes).argmax(axis=1) if first else None
+                for k, (c, code) in enumerate(zip(b["lang"], codes, strict=True)):
+                    if len(code) and (guess is None or first.langs[guess[k]] == c):
+                        seen, n = np.unique(code, return_counts=True)
+                        sums[c][0][seen] += n / np.linalg.norm(n)
+                        sums[c][1][seen] += 1
+                        texts[c] += 1
+            for c in langs:
+                used = np.flatnonzero(sums[c][1])
+                yield pd.DataFrame({"lang": c, "code": np.append(used, -1), "bundled": np.append(sums[c][0][used], 0.0), "present": np.append(sums[c][1][used], texts[c])})
 
         return run
 
-    out: dict[str, np.ndarray] | None = None
-    for _ in range(2):  # the second time without texts that the first prototypes assign elsewhere
-        # per task one vector per language; summed in the cluster before the driver sees it
-        rows = sample.mapInPandas(partial(out), "lang string, v array<double>")
-        added = rows.select("lang", F.posexplode("v").alias("k", "x")).groupBy("lang", "k").agg(F.sum("x").alias("x"))
-        got: dict[str, np.ndarray] = {}
-        for r in added.collect():  # languages x dimensions numbers
-            got.setdefault(r["lang"], np.zeros(width))[r["k"]] = r["x"]
-        out = {c: (v / np.linalg.norm(v)).astype(np.float32) for c, v in got.items() if np.linalg.norm(v) > 0}
-    return out or {}
-
-
-def cosines(bundles: np.ndarray, protos: np.ndarray) -> np.ndarray:
-    """Cosine of every bundle with every prototype after both are centred on the mean prototype: what all
-    languages share - the commonest n-grams - says nothing of any of them."""
-    if len(protos) < 2:
-        return np.ones((len(bundles), len(protos)), dtype=np.float32)
-    mean = protos.mean(axis=0)
-    p = protos - mean
-    p /= np.linalg.norm(p, axis=1, keepdims=True)
-    norms = np.linalg.norm(bundles, axis=1, keepdims=True)
-    v = np.divide(bundles, norms, out=np.zeros_like(bundles), where=norms > 0) - mean
-    return v @ p.T / np.linalg.norm(v, axis=1, keepdims=True)
-
-
-def segments(documents: DataFrame, protos: dict[str, np.ndarray], *, key: str = "doc_id", text: str = "text", space_args: tuple = ()) -> DataFrame:
+    profiles = None
+    for _ in range(2):
+        rows = sample.mapInPandas(partial(profiles), "lang string, code long, bundled double, present double")
+        got = rows.groupBy("lang", "code").agg(F.sum("bundled").alias("bundled"), F.sum("present").alias("present")).toPandas()
+        bundled, present = np.zeros((len(langs), width)), np.zeros((len(langs), width))
+        for k, c in enumerate(langs):
+            own = got[(got["lang"] == c) & (got["code"] >= 0)]
+            total = got[(got["lang"] == c) & (got["code"] < 0)]["present"].sum()
+            bundled[k, own["code"].to_numpy()] = own["bundled"]
+            present[k, own["code"].to_numpy()] = own["present"] / max(total, 1)
+        profiles = Profiles(langs, bundled, present, Space())
+    return profiles
+
+
+def segments(documents: DataFrame, profiles: Profiles | None, *, key: str = "doc_id", text: str = "text", names: list[str] | None = None) -> DataFrame:
     """(key, para_no, n_chars, lang, confidence): every paragraph from 1, and para_no 0 for the whole text.
 
     Paragraphs are the non-blank pieces between line breaks.  A paragraph has the language of the nearest
     prototype; its confidence is that cosine's share over the runner-up, from 0 to 1.  Paragraphs without
     letters take the language of the text.  The whole text has the language of most characters, with their
     share as confidence.  Null and blank texts give no row; a text without any letter has a null language.
-    Whole texts are read, in place, without a shuffle.
+    ``names`` (a bounded list) are left out of the texts: names of countries have no language.  Whole texts
+    are read, in place, without a shuffle.
     """
-    names = sorted(protos)
-    matrix = np.stack([protos[c] for c in names]) if names else np.zeros((0, DIMENSIONS), dtype=np.float32)
+    ignore = re.compile(r"\b(?:" + "|".join(re.escape(x.casefold()) for x in sorted(names, key=len, reverse=True)) + r")\b") if names else None
+    names = profiles.langs if profiles else []
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        space = Space(*space_args)
         for b in batches:
             pieces, sizes = [], []
             for t in b["text"]:
                 paras = [p for p in re.split(r"[\r\n]+", t) if p.strip()] if t else []
                 sizes.append(len(paras))
                 pieces += paras
-            codes = [ngram_codes(p) for p in pieces]
-            cos = cosines(space.bundles(codes), matrix)
+            codes = [ngram_codes(p, ignore=ignore) for p in pieces]
+            cos = profiles.cosines(codes) if profiles else np.zeros((len(codes), 0))
             out, at = [], 0
             for key_value, n in zip(b["key"], sizes, strict=True):
                 if not n:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens.core.tables import bounded_collect, load, materialize
-from fundlens.llm import canon, langid, linkage, truth
+from fundlens.llm import canon, langid, linkage, mixing, packing, tokens, truth
 from fundlens.operators import units
 
 
@@ -69,13 +69,41 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_links(spark, sf_dir).select("row_id", "list_id")
 
 
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(tokens.sizes(load(spark, sf_dir, "documents").select("doc_id", "text")), load(spark, sf_dir, "pack_specs"))
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every text, or piece of a larger text, goes for every capacity."""
+    return _packed(spark, sf_dir)
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill_report(_packed(spark, sf_dir), load(spark, sf_dir, "pack_specs"))
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    sizes = materialize(tokens.sizes(load(spark, sf_dir, "documents").select("doc_id", "text", "source"), keep=("source",)))
+    return mixing.mix(sizes, load(spark, sf_dir, "mix_targets"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of every mixture with how often each is used."""
+    return _mixed(spark, sf_dir)[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of every source of every recipe."""
+    return _mixed(spark, sf_dir)[1]
+
+
 def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text and paragraph with its language, confidence, and what the label said."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     langs = [(r["lang"], r["iso3"], r["lang_name"]) for r in bounded_collect(load(spark, sf_dir, "ref_langs"), 1000, "languages") if r["lang"]]
     labelled = docs.withColumn("label_lang", langid.label_language(F.col("lang"), langs))
-    protos = langid.prototypes(labelled, "text", "label_lang", "doc_id")
-    return langid.segments(docs, protos).join(labelled.select("doc_id", "label_lang"), "doc_id")
+    countries = [r[0] for r in bounded_collect(load(spark, sf_dir, "ref_countries").select("country_name"), canon.MAX_ENTRIES, "countries") if r[0]]
+    return langid.segments(docs, langid.train(labelled, "text", "label_lang", "doc_id"), names=countries).join(labelled.select("doc_id", "label_lang"), "doc_id")
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +124,10 @@ QUERIES = {
     "p6_mapped": p6_mapped,
     "p7_found": p7_found,
     "p7_links": p7_links,
+    "p8_containers": p8_containers,
+    "p8_fill": p8_fill,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
     "p10_found": p10_found,
     "p10_segments": p10_segments,
 }
