@@ -15,13 +15,17 @@ _BIG = "decimal(38,0)"
 
 
 def half_even(numerator: Column, denominator: Column) -> Column:
-    """numerator / denominator as a whole number, half to even; null for a null or zero denominator."""
-    n, d = F.abs(numerator).cast(_BIG), denominator.cast(_BIG)
-    rest = n % d
-    q = ((n - rest) / d).cast(_BIG)
-    up = F.when((2 * rest > d) | ((2 * rest == d) & (q % 2 == 1)), 1).otherwise(0)
-    value = (q + up).cast("bigint")
-    return F.when(d > 0, F.when(numerator < 0, -value).otherwise(value))
+    """numerator / denominator as a whole number, half to even; null for a null or zero denominator.
+
+    With q the whole part of twice the quotient, (q + 1) div 2 rounds half up; an exact half (q odd and no
+    rest) that this made odd goes down by one.  No branches, so generated code computes each part once.
+    """
+    twice, d = F.abs(numerator).cast(_BIG) * 2, F.nullif(denominator.cast(_BIG), F.lit(0).cast(_BIG))
+    rest = (twice % d).cast(_BIG)
+    q = ((twice - rest) / d).cast(_BIG)
+    up = F.floor((q + 1) / 2).cast("bigint")
+    tie = ((rest == 0) & (q % 2 == 1) & (up % 2 == 1)).cast("bigint")
+    return (up - tie) * F.signum(numerator).cast("bigint")
 
 
 def scaled(c: Column, places: int, precision: int = 28) -> Column:

@@ -81,8 +81,8 @@ def visibility_checks(official: DataFrame, ours: DataFrame, fields: list[str], t
     Own rows are those with an official id where these are at least half as many as the official rows,
     else all own rows; both sums come from one pass, the choice is made on the sums.
     """
-    ids = official.select("bank_id", F.lower("project_id").alias("__id")).distinct()
-    marked = ours.join(ids.withColumn("__m", F.lit(1)), (ours["bank_id"] == ids["bank_id"]) & (F.lower(ours["project_id"]) == ids["__id"]), "left").drop(ids["bank_id"]).drop("__id")
+    ids = official.select("bank_id", F.lower("project_id").alias("__id")).distinct().withColumn("__m", F.lit(1))
+    marked = ours.withColumn("__id", F.lower("project_id")).join(ids, ["bank_id", "__id"], "left")
     sums = [F.count_if(filled(f)).alias(f"a_{f}") for f in fields] + [F.count_if(filled(f) & (F.col("__m") == 1)).alias(f"m_{f}") for f in fields]
     own = marked.groupBy("bank_id").agg(F.count(F.lit(1)).alias("a"), F.count("__m").alias("m"), *sums)
     off = official.groupBy("bank_id").agg(F.count(F.lit(1)).alias("o"), *[F.count_if(filled(f)).alias(f"o_{f}") for f in fields])

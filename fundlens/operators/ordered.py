@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fundlens.functions.text import fingerprint
+from fundlens.functions.text import fingerprint, strip
 
 
 def first_by(df: DataFrame, keys: list[Column], order: Column) -> DataFrame:
@@ -28,7 +28,7 @@ def newest_snapshot(live: DataFrame, archives: list[DataFrame], ident: str, orde
     """Live rows, and from each archive - newest first - the ids not seen before."""
     parts = [d.withColumn("__p", F.lit(k)) for k, d in enumerate([live, *archives])]
     both = reduce(lambda a, b: a.unionByName(b), parts)
-    return first_by(both, [F.lower(F.trim(ident))], F.struct("__p", order)).drop("__p")
+    return first_by(both, [F.lower(strip(F.col(ident)))], F.struct("__p", order)).drop("__p")
 
 
 def labels(df: DataFrame, keys: list[str], label: str, order: str, last: bool = False) -> DataFrame:

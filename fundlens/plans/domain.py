@@ -169,7 +169,7 @@ def backstop_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _backbone_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     src = load(spark, sf_dir, "official_sources").where(F.array_contains("roles", "backbone")).select(F.col("source_id").alias("official_source_id"))
-    r = _dated(spark, sf_dir).withColumn("key", F.concat_ws(":", "bank_id", F.lower(F.trim("project_id")))).withColumn("ord", F.col("row_id"))
+    r = _dated(spark, sf_dir).withColumn("key", F.concat_ws(":", "bank_id", F.lower(text.strip(F.col("project_id"))))).withColumn("ord", F.col("row_id"))
     return r.join(src, "official_source_id", "left_semi"), r.where("official_source_id IS NULL")
 
 
@@ -203,7 +203,7 @@ def loan_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extra_fields_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = records(spark, sf_dir).select(F.col("row_id").alias("id"), F.col("row_id").alias("ord"), F.trim("project_id").alias("key"), "bank_id", "province", "completion_date", "financing_instrument", "official_source_id")
+    r = records(spark, sf_dir).select(F.col("row_id").alias("id"), F.col("row_id").alias("ord"), text.strip(F.col("project_id")).alias("key"), "bank_id", "province", "completion_date", "financing_instrument", "official_source_id")
     mine = r.where("bank_id = 'wes' AND official_source_id IS NULL").drop("ord", "official_source_id", "bank_id")
     return reconcile.extra_fields(mine, r.where("official_source_id = 'wes_export_2026'"), ["province", "completion_date"], "financing_instrument")
 

@@ -117,9 +117,18 @@ def page_column(html: Column, base: Column) -> Column:
     return F.pandas_udf(run, PAGE)(html, base)
 
 
+def links_column(html: Column, base: Column) -> Column:
+    """Only the links of a page."""
+
+    def run(h: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([parse_page(x or "", y or "")["links"] for x, y in zip(h, b, strict=True)])
+
+    return F.pandas_udf(run, "array<struct<href string, label string>>")(html, base)
+
+
 def links(pages: DataFrame, key: str, html: str, base: str, extensions: tuple[str, ...] = (), pattern: str | None = None) -> DataFrame:
     """(key, pos, href, label) of the links of every page, by suffix before the query string or by pattern."""
-    df = pages.select(key, F.posexplode(page_column(F.col(html), F.col(base))["links"]).alias("pos", "l")).select(key, "pos", "l.href", "l.label")
+    df = pages.select(key, links_column(F.col(html), F.col(base)).alias("__l")).select(key, F.posexplode("__l").alias("pos", "l")).select(key, "pos", "l.href", "l.label")
     if extensions:
         df = df.where(F.regexp_extract(F.lower("href"), r"^([^?]*)", 1).rlike("(" + "|".join(re.escape(e.lower()) for e in extensions) + ")$"))
     return df.where(F.col("href").rlike(f"(?i){pattern}")) if pattern else df
