@@ -192,3 +192,22 @@ SELECT o.key, coalesce(total_disbursement, s) AS total_disbursement, CASE WHEN t
     "event_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
     "star_revenue": "SELECT r_name, n_name, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_lines, CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL",
 }
+
+_P4 = """
+WITH v AS (
+  SELECT load_no, 'loan_amount' AS column_name, CAST(loan_amount AS DECIMAL(32,4)) AS x, CAST(NULL AS VARCHAR) AS t, loan_amount IS NOT NULL AS there FROM project_records
+  UNION ALL SELECT load_no, 'total_disbursement', CAST(total_disbursement AS DECIMAL(32,4)), NULL, total_disbursement IS NOT NULL FROM project_records
+  UNION ALL SELECT load_no, 'province', NULL, province, coalesce(trim(regexp_replace(province, '\\s+', ' ', 'g')) <> '', false) FROM project_records),
+m AS (
+  SELECT load_no, column_name, count(*) AS n_rows, count(*) FILTER (WHERE there) AS n_filled, 1 - n_filled / n_rows AS null_share,
+    (count(DISTINCT x) + count(DISTINCT CASE WHEN there THEN t END)) / n_rows AS distinct_per_row, median(CAST(x AS DOUBLE)) FILTER (WHERE x > 0) AS med,
+    max(x) AS hi, min(x) AS lo, count(*) FILTER (WHERE there AND t IS NOT NULL AND (NOT regexp_full_match(t, '[\\p{L} .''\\-]*') OR NOT regexp_matches(t, '\\p{L}'))) / nullif(n_filled, 0) AS bad
+  FROM v GROUP BY load_no, column_name),
+b AS (SELECT *, lag(null_share) OVER w AS null0, lag(distinct_per_row) OVER w AS d0, lag(med) OVER w AS med0 FROM m WINDOW w AS (PARTITION BY column_name ORDER BY load_no))
+SELECT load_no, column_name, 'null_rate' AS finding FROM b WHERE abs(null_share - null0) > 0.2
+UNION ALL SELECT load_no, column_name, 'distinct' FROM b WHERE distinct_per_row * 2 < d0 OR distinct_per_row > 2 * d0
+UNION ALL SELECT load_no, column_name, 'shift' FROM b WHERE column_name <> 'province' AND (med > 3 * med0 OR med0 > 3 * med)
+UNION ALL SELECT load_no, column_name, 'range' FROM b WHERE column_name <> 'province' AND (hi > 9e13 OR (column_name = 'loan_amount' AND lo < 0))
+UNION ALL SELECT load_no, column_name, 'pattern' FROM b WHERE column_name = 'province' AND bad > 0.02
+"""
+ORACLE_SQL["p4_found"] = _P4
