@@ -131,3 +131,16 @@ QUERIES = {
     "p10_found": p10_found,
     "p10_segments": p10_segments,
 }
+
+ORACLE_SQL = {
+    "p1_found": """
+WITH x AS (SELECT *, nullif(regexp_replace(lower(project_id), '[^a-z0-9]', '', 'g'), '') AS p FROM project_records WHERE bank_id IS NOT NULL),
+s AS (SELECT *, regexp_replace(regexp_replace(p, '[a-z]', 'A', 'g'), '[0-9]', '9', 'g') AS shape FROM x WHERE p IS NOT NULL),
+u AS (SELECT bank_id, shape AS usual FROM s GROUP BY bank_id, shape QUALIFY row_number() OVER (PARTITION BY bank_id ORDER BY count(*) DESC, shape DESC) = 1),
+k AS (SELECT s.*, CASE WHEN suffix(shape, usual) THEN right(p, length(usual)) ELSE p END AS k,
+  CASE WHEN list_contains(o.roles, 'backbone') THEN 0 WHEN list_contains(o.roles, 'supplement') THEN 1 WHEN list_contains(o.roles, 'extra-fields') THEN 2 WHEN list_contains(o.roles, 'backstop') THEN 3 ELSE 4 END AS tier
+  FROM s JOIN u USING (bank_id) LEFT JOIN official_sources o ON o.source_id = s.official_source_id),
+r AS (SELECT *, count(*) OVER g AS n, min(row_id) OVER g AS group_id, row_number() OVER (PARTITION BY bank_id, k ORDER BY (loan_amount IS NULL), tier, source_updated_at DESC NULLS LAST, row_id) AS rk FROM k WINDOW g AS (PARTITION BY bank_id, k))
+SELECT group_id, row_id AS survivor_id FROM r WHERE rk = 1 AND n > 1
+""",
+}
