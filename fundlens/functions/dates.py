@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fundlens.functions.text import normalize_text
+from fundlens.functions.text import bound, normalize_text
 
 # Spanish months by number.
 SPANISH_MONTHS = {
@@ -26,12 +26,19 @@ def parse_date(c: Column, day_first: bool | None = None) -> Column:
     low = F.regexp_replace(F.lower(F.translate(t, "，", ",")), r",(?=\S)", ", ")
     for name, number in SPANISH_MONTHS.items():
         low = F.regexp_replace(low, rf"\b{name}\b", number)
+    return bound(low, lambda x: _read(x, day_first))
+
+
+def _read(low: Column, day_first: bool | None) -> Column:
     month = F.regexp_extract(low, r"\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\b", 1)
     mm = F.lit(None).cast("string")
     for name, number in _MONTH_NUMBERS.items():
         mm = F.when(month == name, F.lit(number)).otherwise(mm)
     named = F.regexp_replace(low, r"\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\b", "#")
+    return bound(F.struct(named.alias("n"), mm.alias("m")), lambda x: _match(x["n"], x["m"], day_first))
+
 
+def _match(named: Column, mm: Column, day_first: bool | None) -> Column:
     def group(pattern: str, *order: int) -> list[Column]:
         return [F.nullif(F.regexp_extract(named, pattern, k), F.lit("")) for k in order]
 
@@ -42,7 +49,7 @@ def parse_date(c: Column, day_first: bool | None = None) -> Column:
         return F.when(named.rlike(pattern), made(y, m, d))
 
     iso = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})(?:[t ].*)?$"
-    dmy = r"^(\d{1,2})[ -]#[ -,]*,? ?(\d{4})$"
+    dmy = r"^(\d{1,2})[ -]#[ ,-]*(\d{4})$"
     mdy = r"^# (\d{1,2}), (\d{4})$"
     my = r"^#,? (\d{4})$"
     dnum = r"^(\d{1,2})[ -](?:de )?(\d{1,2})[ -](?:de )?(\d{4})$"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fundlens.functions.text import normalize_text
+from fundlens.functions.text import bound, normalize_text
 
 # Currency signs and names, tried in this order, and active currency codes with two units of account.
 CURRENCY_SIGNS = [("US$", "USD"), ("€", "EUR"), ("£", "GBP")]
@@ -51,17 +51,24 @@ def plain_number(token: Column, dot_is_decimal: Column | None = None) -> Column:
 
 def parse_decimal(c: Column, dot_is_decimal: Column | None = None) -> Column:
     """The first number of a text as DECIMAL(38,10); brackets around the text negate; null where there is none."""
-    t = normalize_text(c)
+    point = F.lit(False) if dot_is_decimal is None else dot_is_decimal
+    return bound(F.struct(normalize_text(c).alias("t"), point.alias("p")), lambda x: _decimal(x["t"], x["p"]))
+
+
+def _decimal(t: Column, dot_is_decimal: Column) -> Column:
     run = F.regexp_extract(t, r"([-+]?\d[\d\s.,'  ]*)", 1)
-    n = F.regexp_replace(plain_number(run, dot_is_decimal), r"^\+|\.$", "").try_cast("decimal(38,10)")
+    n = bound(run, lambda r: F.regexp_replace(plain_number(r, dot_is_decimal), r"^\+|\.$", "").try_cast("decimal(38,10)"))
     return F.when(t.rlike(r"^\(.*\)$"), -n).otherwise(n)
 
 
 def detect_currency(c: Column, default: Column | None = None) -> Column:
     """The currency a text names by sign, name or code, in this order, else the default; null where neither."""
-    t = normalize_text(c)
+    other = F.lit(None).cast("string") if default is None else F.nullif(F.upper(default), F.lit(""))
+    return bound(F.struct(normalize_text(c).alias("t"), other.alias("d")), lambda x: _currency(x["t"], x["d"]))
+
+
+def _currency(t: Column, out: Column) -> Column:
     up = F.upper(t)
-    out = F.nullif(F.upper(default), F.lit("")) if default is not None else F.lit(None).cast("string")
     codes = F.filter(F.regexp_extract_all(up, F.lit(r"(?<![A-Z])([A-Z]{3})(?![A-Z])"), F.lit(1)), lambda x: x.isin(CURRENCY_CODES))
     out = F.coalesce(F.get(codes, 0), out)
     for name, code in reversed(CURRENCY_NAMES):
