@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_NARRATIVE = "narrative: string"
 ACTIVITY = """
 `_default-currency` string, `iati-identifier` string,
 `reporting-org` struct<_ref: string, narrative: string>,
@@ -56,7 +55,10 @@ def transactions(df: DataFrame) -> DataFrame:
 
 
 def _date(codes: list[str]) -> Column:
-    found = [F.get(F.filter("activity-date", lambda d, c=c: (d["_type"] == c) & (d["_iso-date"] != "")), 0)["_iso-date"] for c in codes]
+    def of(code: str) -> Column:
+        return F.get(F.filter("activity-date", lambda d: (d["_type"] == code) & (d["_iso-date"] != "")), 0)["_iso-date"]
+
+    found = [of(c) for c in codes]
     planned = found[0].isNull() & found[1].isNotNull()
     return F.struct(F.coalesce(*found).alias("day"), planned.cast("int").alias("planned"))
 
