@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens.core.tables import load
-from fundlens.functions import dates, money, numbers, text
+from fundlens.functions import codes, dates, money, numbers, text
 from fundlens.operators import audit, ordered, panel, reconcile, theta
+from fundlens.operators import records as canonical_records
 from fundlens.sources import html, official
 from fundlens.streaming import landing
 
@@ -305,7 +306,24 @@ def star_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.groupBy("r_name", "n_name", F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("n_lines"), cents.cast("double").alias("revenue"))
 
 
+def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO codes by code, name or other name: exact tiers, nothing guessed."""
+    ref = load(spark, sf_dir, "ref_countries")
+    return codes.tiered_lookup(records(spark, sf_dir).where("NOT contains(country, '&')").select("row_id", "country"), "country", codes.country_tiers(ref), "code")
+
+
+def record_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical_records.split_valid(records(spark, sf_dir))[1].select("row_id", F.array_join("problems", "; ").alias("problems"))
+
+
+def finalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical_records.finalize(records(spark, sf_dir), FIRST, LAST).select("row_id", "approval_year", F.col("total_commitment").cast("double").alias("total_commitment"), "commitment_currency", F.col("pipeline_stage").cast("int").alias("pipeline_stage"))
+
+
 QUERIES = {
+    "country_codes": country_codes,
+    "record_problems": record_problems,
+    "finalized": finalized,
     "convert_constant_usd": convert_constant_usd,
     "panel_country_year": _q(lambda o: panel.panel(o, FIRST, LAST)),
     "panel_unallocated": _q(lambda o: panel.unallocated(o, FIRST, LAST)),

@@ -193,6 +193,28 @@ SELECT o.key, coalesce(total_disbursement, s) AS total_disbursement, CASE WHEN t
     "star_revenue": "SELECT r_name, n_name, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_lines, CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL",
 }
 
+ORACLE_SQL["record_problems"] = (
+    "WITH p AS (SELECT row_id, list_filter(["
+    + ", ".join(f"CASE WHEN {c} IS NULL OR trim({c}) = '' THEN '{c} is missing' END" for c in ("bank_id", "project_id", "project_name", "project_url"))
+    + ", "
+    + ", ".join(f"CASE WHEN {c} NOT BETWEEN 1900 AND 2200 THEN '{c} is out of range' END" for c in ("approval_year", "commitment_year"))
+    + ", CASE WHEN latitude NOT BETWEEN -90 AND 90 THEN 'latitude is out of range' END, CASE WHEN longitude NOT BETWEEN -180 AND 180 THEN 'longitude is out of range' END, "
+    + ", ".join(f"CASE WHEN {c} < 0 THEN '{c} is negative' END" for c in ("loan_amount", "loan_amount_usd", "total_commitment", "cofinancing_amount"))
+    + "], lambda x: x IS NOT NULL) AS problems FROM project_records) SELECT row_id, array_to_string(problems, '; ') AS problems FROM p WHERE len(problems) > 0"
+)
+ORACLE_SQL["finalized"] = f"""
+WITH r AS (SELECT *, coalesce(approval_year, year(try_cast(approval_date AS DATE)), commitment_year) AS y FROM project_records)
+SELECT row_id, CAST(y AS INTEGER) AS approval_year, CAST(coalesce(total_commitment, loan_amount) AS DOUBLE) AS total_commitment,
+  CASE WHEN total_commitment IS NULL AND loan_amount IS NOT NULL THEN loan_currency ELSE commitment_currency END AS commitment_currency,
+  CAST(coalesce(pipeline_stage, CAST(lower(status) IN ('pipeline', 'proposed', 'under appraisal', 'planned') AS TINYINT)) AS INTEGER) AS pipeline_stage
+FROM r WHERE y IS NULL OR y BETWEEN {FIRST} AND {LAST}"""
+_K = "trim(regexp_replace(lower(strip_accents({c})), '[^a-z0-9]+', ' ', 'g'))"
+ORACLE_SQL["country_codes"] = f"""
+WITH t AS (SELECT 1 AS tier, iso3 AS k, iso3 AS v FROM ref_countries UNION ALL SELECT 1, iso2, iso3 FROM ref_countries UNION ALL SELECT 2, country_name, iso3 FROM ref_countries UNION ALL SELECT 3, unnest(alt_names), iso3 FROM ref_countries),
+tier AS (SELECT tier, {_K.format(c="k")} AS k, min(v) AS v FROM t GROUP BY ALL),
+r AS (SELECT row_id, country, {_K.format(c="country")} AS w, {_K.format(c="regexp_extract(country, '^([^;,]*)', 1)")} AS p FROM project_records WHERE NOT contains(country, '&')),
+hit AS (SELECT row_id, 0 AS part, tier, v FROM r JOIN tier ON tier.k = r.w UNION ALL SELECT row_id, 1, tier, v FROM r JOIN tier ON tier.k = r.p)
+SELECT r.row_id, r.country, arg_min(h.v, h.part * 10 + h.tier) AS code FROM r LEFT JOIN hit h ON h.row_id = r.row_id GROUP BY r.row_id, r.country"""
 _P4 = """
 WITH v AS (
   SELECT load_no, 'loan_amount' AS column_name, CAST(loan_amount AS DECIMAL(32,4)) AS x, CAST(NULL AS VARCHAR) AS t, loan_amount IS NOT NULL AS there FROM project_records
