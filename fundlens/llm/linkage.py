@@ -1,7 +1,7 @@
 """Matching entities across sources without keys: heuristic votes and a generative label model.
 
 Candidates come from equi-joins: a rare word of the name (up to one slip) together with the country, the
-size of the amount or the year.  Matching functions vote on each candidate with a level (agree, close,
+size of the amount or the year; for a place with many names, and for rows without such a word, two of these.  Matching functions vote on each candidate with a level (agree, close,
 differ, ...) or abstain.  A generative model - a mixture of match and non-match whose factors are the
 functions' levels, with the most dependent functions modelled jointly - learns from the unlabelled vote
 patterns how often each function says what; its posterior is the confidence.  A one-to-one assignment by
@@ -62,15 +62,24 @@ def named(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn("__n", read(F.col(name))).select("*", F.col("__n.tokens").alias("tokens"), F.col("__n.stage").alias("stage")).drop("__n")
 
 
-def generic_words(left: DataFrame, right: DataFrame, listed: list[str]) -> list[str]:
-    """Words that are frequent in the names of either side, and the words of country names."""
-    out = set(listed)
+def frequent_words(left: DataFrame, right: DataFrame, listed: list[str]) -> tuple[list[str], list[str]]:
+    """(generic, hot): words of kind with the words of country names, and places with many names.
+
+    Frequency counts a name once per country, however often it is copied.  A frequent word that lies mostly in
+    one country, far above that country's share of the names, is a place; words of kind spread over countries.
+    """
+    spread, local = set(listed), set()
     for side in (left, right):
-        n = side.count()
-        rows = side.select(F.explode(F.array_distinct("tokens")).alias("t")).groupBy("t").count().where(F.col("count") > max(GENERIC_LEAST, GENERIC_SHARE * n)).select("t")
+        names = materialize(side.select(F.array_distinct("tokens").alias("t"), "country").distinct())
+        n, known = names.count(), names.where("country IS NOT NULL").groupBy("country").count()
+        base = known.agg(F.max("count") / F.sum("count")).first()[0] or 0.0
+        per = names.select(F.explode("t").alias("t"), "country").groupBy("t", "country").count()
+        there = F.when(F.col("country").isNotNull(), F.col("count"))
+        rows = per.groupBy("t").agg(F.sum("count").alias("n"), (F.max(there) / F.sum(there)).alias("share")).where(F.col("n") > max(GENERIC_LEAST, GENERIC_SHARE * n))
         # at most (words per name) / GENERIC_SHARE of them, whatever the size of the data
-        out |= {r[0] for r in bounded_collect(rows, 100_000, "generic words")}
-    return sorted(out)
+        for r in bounded_collect(rows, 100_000, "frequent words"):
+            (local if (r["share"] or 0.0) > (1 + base) / 2 else spread).add(r["t"])
+    return sorted(spread), sorted(local - spread)
 
 
 def near_words(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -90,38 +99,75 @@ def near_words(left: DataFrame, right: DataFrame) -> DataFrame:
     return lw.join(rw, "part").select("lw", "rw").distinct().withColumn("d", distance("lw", "rw")).where("d <= 2")
 
 
-def candidates(left: DataFrame, right: DataFrame, generic: list[str]) -> DataFrame:
+def candidates(left: DataFrame, right: DataFrame, generic: list[str], hot: list[str] = ()) -> DataFrame:
     """(lid, rid, d): pairs that share a rare word up to slips and one of country, amount or year.
 
     ``left``/``right``: id, tokens, country, year, usd.  A pair needs the same country, or amounts in
-    neighbouring buckets of 10 %, or - where either amount is missing - years at most one apart.
+    neighbouring buckets of 10 %, or - where either amount is missing - years at most one apart.  With a hot
+    word two of country, amount and year must agree, or the only one that both sides have.  A row without a
+    rare or hot word over 3 letters is compared so by any of its words; ``d`` is null if that is one of kind.
     """
     common = F.array(*[F.lit(w) for w in generic]) if generic else F.array().cast("array<string>")
+    distinct = F.array_distinct("tokens")
+    rare = F.filter(F.array_except(distinct, common), lambda t: F.length(t) > 3)
+    form = F.array(*[F.lit(w) for w in sorted(FORM_WORDS)])
 
-    def rare(df: DataFrame) -> DataFrame:
-        kept = F.array_except(F.array_distinct("tokens"), common)
-        return df.select("id", "country", "year", "usd", F.explode(F.filter(kept, lambda t: F.length(t) > 3)).alias("w"))
+    def by(df: DataFrame, which: Column) -> DataFrame:
+        return df.select("id", "country", "year", "usd", F.explode(which).alias("w"))
 
-    ll, rr = rare(left), rare(right)
+    ll, rr = by(left, rare), by(right, rare)
     near = near_words(ll.select("w").distinct(), rr.select("w").distinct())
+    if hot:
+        near = materialize(near.withColumn("hot", F.col("lw").isin(*hot) | F.col("rw").isin(*hot)))
     bucket = F.floor(F.log("usd") / 0.1).cast("int")
+    year, country = F.col("year"), F.col("country")
 
     def key(prefix: str, *values: Column) -> list[Column]:
         return [F.concat(F.lit(prefix), v.cast("string")) for v in values]
 
-    year = F.col("year")
-    lkeys = F.array_compact(F.array(*key("c", F.col("country")), *key("a", bucket), *key("y", year), *key("z", F.when(F.col("usd").isNull(), year))))
+    lkeys = F.array_compact(F.array(*key("c", country), *key("a", bucket), *key("y", year), *key("z", F.when(F.col("usd").isNull(), year))))
     rkeys = F.array_compact(
         F.array(
-            *key("c", F.col("country")),
+            *key("c", country),
             *key("a", bucket - 1, bucket, bucket + 1),
             *[F.when(F.col("usd").isNull(), k) for k in key("y", year - 1, year, year + 1)],
             *key("z", year - 1, year, year + 1),
         )
     )
-    lk = ll.select(F.col("id").alias("lid"), F.col("w").alias("lw"), F.explode(lkeys).alias("key"))
-    rk = rr.select(F.col("id").alias("rid"), F.col("w").alias("rw"), F.explode(rkeys).alias("key")).join(near, "rw")
-    return lk.join(rk, ["lw", "key"]).groupBy("lid", "rid").agg(F.min("d").alias("d"))
+    # keys of two attributes, and of one with what the left side knows of the others: the right side takes all it shares none with
+    own = {"c": [country], "a": [bucket], "y": [year]}
+    wide = {"c": [country], "a": [bucket - 1, bucket, bucket + 1], "y": [year - 1, year, year + 1]}
+
+    def strict(values: dict[str, list[Column]], is_left: bool) -> Column:
+        keys = [F.concat(F.lit(f"{f}{g}|"), v.cast("string"), F.lit("|"), u.cast("string")) for f, g in ("ca", "cy", "ay") for v in values[f] for u in values[g]]
+        for f, g, h in ("cay", "acy", "yca"):
+            has_g, has_h = own[g][0].isNotNull(), own[h][0].isNotNull()
+            for x in (False, True):
+                for y in (False, True):
+                    fits = ((has_g == F.lit(x)) & (has_h == F.lit(y))) if is_left else ~((has_g & F.lit(x)) | (has_h & F.lit(y)))
+                    keys += [F.when(fits, k) for k in key(f"{f}{int(x)}{int(y)}|", *values[f])]
+        return F.array_compact(F.array(*keys))
+
+    def met(lw: DataFrame, lk: Column, rw: DataFrame, rk: Column, words: DataFrame) -> DataFrame:
+        a = lw.select(F.col("id").alias("lid"), F.col("w").alias("lw"), F.explode(lk).alias("key"))
+        b = rw.select(F.col("id").alias("rid"), F.col("w").alias("rw"), F.explode(rk).alias("key")).join(words, "rw")
+        return a.join(b, ["lw", "key"]).select("lid", "rid", "d")
+
+    found = met(ll, lkeys, rr, rkeys, near.where("NOT hot").drop("hot") if hot else near)
+    if hot:
+        near = near.where("hot").drop("hot")
+        found = found.unionByName(met(ll.join(near.select(F.col("lw").alias("w")).distinct(), "w", "left_semi"), strict(own, True), rr, strict(wide, False), near))
+    # rows that no word above leads to
+    said = F.array_except(distinct, form)
+    said = F.when(F.size(said) > 0, said).otherwise(distinct)
+    bare = (F.size(rare) == 0) & (F.size(distinct) > 0)
+    meant = F.when(~F.array_contains(F.array_union(common, form), F.col("w")), 0)
+    for a, b in ((left.where(bare), right), (left, right.where(bare))):
+        if not (a if b is right else b).isEmpty():
+            a = by(a, said).select(F.col("id").alias("lid"), "w", F.explode(strict(own, True)).alias("key"))
+            b = by(b, said).select(F.col("id").alias("rid"), "w", F.explode(strict(wide, False)).alias("key"))
+            found = found.unionByName(a.join(b, ["w", "key"]).select("lid", "rid", meant.alias("d")))
+    return found.groupBy("lid", "rid").agg(F.min("d").alias("d"))
 
 
 def translations(pairs: DataFrame, generic: list[str]) -> dict[str, set[str]]:
@@ -272,8 +318,8 @@ def link(left: DataFrame, right: DataFrame, country_words: list[str], least: flo
     cols = ["id", "tokens", "stage", "country", "year", "usd"]
     ll = materialize(named(left, "name").select(*cols))
     rr = materialize(named(right, "name").select(*cols))
-    generic = generic_words(ll, rr, country_words)
-    pairs = candidates(ll, rr, generic)
+    generic, hot = frequent_words(ll, rr, country_words)
+    pairs = candidates(ll, rr, generic, hot)
     # only the words of purpose travel with the pairs
     kind = F.array(*[F.lit(w) for w in sorted(set(generic) - FORM_WORDS - set(country_words))]).cast("array<string>")
     idle = F.array(*[F.lit(w) for w in sorted(FORM_WORDS | set(country_words))])
@@ -284,12 +330,12 @@ def link(left: DataFrame, right: DataFrame, country_words: list[str], least: flo
     other = F.lit(ABSTAIN)
     pairs = pairs.withColumns(
         {
-            "place": F.least("d", F.lit(2)),
+            "place": F.coalesce(F.least("d", F.when(F.col("d").isNotNull(), 2)), other),
             "country": F.when(F.col("lcountry").isNull() | F.col("rcountry").isNull(), other).otherwise((F.col("lcountry") == F.col("rcountry")).cast("int")),
             "year": F.when(years.isNull(), other).otherwise(F.least(years, F.lit(2))),
             "amount": F.when(gap.isNull(), other).when(gap <= 0.02, 0).when(gap <= 0.06, 1).when(gap <= 0.15, 2).otherwise(3),
             "stage": (F.col("lstage") == F.col("rstage")).cast("int"),
-            "closeness": -F.coalesce(gap, F.lit(0.05)) - 0.1 * F.col("d"),
+            "closeness": -F.coalesce(gap, F.lit(0.05)) - 0.1 * F.coalesce("d", F.lit(2)),
         }
     )
     pairs = materialize(pairs.select("lid", "rid", "ltokens", "rtokens", "closeness", *[f for f in FUNCTIONS if f != "purpose"]))

@@ -44,3 +44,40 @@ def test_label_model_finds_classes():
 
 def test_stage():
     assert [linkage.stage_of(t.split()) for t in ("a phase ii", "a ph 3", "a b i", "a", "")] == [2, 3, 1, 0, 0]
+
+
+SCHEMA = "id long, tokens array<string>, country string, year int, usd double"
+
+
+def _pairs(spark, left, right):
+    a, b = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA)
+    generic, hot = linkage.frequent_words(a, b, [])
+    return {(r["lid"], r["rid"]): r["d"] for r in linkage.candidates(a, b, generic, hot).collect()}, generic, hot
+
+
+def test_candidates_of_a_hot_place(spark):
+    kinds = ["bridge", "water", "school"]
+    left = [(k, [f"place{chr(97 + k % 26)}{chr(97 + k // 26)}", kinds[k % 3]], f"C{k % 7}", 2000, 1e6) for k in range(120)]
+    left += [(1000 + k, ["kobara", kinds[k % 3], f"n{k}"], "C1", 2000 + k % 3, 1e6 * 2 ** (k % 40)) for k in range(60)]
+    right = [(1, ["kobara", "bridge"], "C1", 2000, None), (2, ["kobbara"], None, 2001, 4e6), (3, ["kobara"], "C1", None, None), (4, ["kobara"], None, None, 1e6)]
+    got, generic, hot = _pairs(spark, left, right)
+    assert hot == ["kobara"] and set(kinds) <= set(generic)
+    lefts = {r[0]: r for r in left if "kobara" in r[1]}
+    assert {p for p in got if p[1] == 1} == {(k, 1) for k, r in lefts.items() if abs(r[3] - 2000) <= 1}
+    assert {p for p in got if p[1] == 3} == {(k, 3) for k in lefts}  # the country is all that both have
+    assert {k for k, r in lefts.items() if r[4] == 4e6 and r[3] <= 2002} <= {k for k, rid in got if rid == 2}
+    assert {k for k, r in lefts.items() if r[4] == 1e6} <= {k for k, rid in got if rid == 4}
+
+
+def test_candidates_of_copies(spark):
+    left = [(k, ["kobara", "bridge"], "C1", 2000, 1e6) for k in range(50)] + [(100, ["miteku", "bridge"], "C2", 2000, 1e6)]
+    got, generic, hot = _pairs(spark, left, [(1, ["kobara"], "C1", 2005, 9e6)])
+    assert set(got) == {(k, 1) for k in range(50)} and not generic and not hot
+
+
+def test_candidates_without_a_rare_word(spark):
+    left = [(k, [f"place{chr(97 + k % 26)}{chr(97 + k // 26)}", "water"], f"C{k % 7}", 2000 + k % 3, 1e6 * (k + 1)) for k in range(60)]
+    left += [(100, ["water"], "C1", 2000, 5e9), (101, ["ur", "water"], "C2", 2000, 1e6)]
+    got, generic, _ = _pairs(spark, left, [(1, ["water"], "C1", 2001, 5e9), (2, ["ur", "project"], "C2", 2000, None), (3, ["water"], "C1", 2009, 8e12)])
+    assert generic == ["water"]
+    assert got[(100, 1)] is None and got[(101, 2)] == 0 and not {p for p in got if p[1] == 3}
