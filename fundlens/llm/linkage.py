@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlens.core.tables import bounded_collect, materialize
@@ -174,10 +174,10 @@ def translations(pairs: DataFrame, generic: list[str]) -> dict[str, set[str]]:
     """What the generic words of one side stand for on the other, learnt from sure candidates."""
     common = F.array(*[F.lit(w) for w in generic]) if generic else F.array().cast("array<string>")
     sure = pairs.where("place = 0 AND country = 1 AND amount = 0 AND stage = 1 AND year IN (0, 1)")
-    sure = sure.select(F.array_intersect("ltokens", common).alias("lt"), F.array_intersect("rtokens", common).alias("rt"))
-    both = sure.select(F.explode("rt").alias("r"), "lt").select("r", F.explode("lt").alias("l")).groupBy("r", "l").agg(F.count(F.lit(1)).alias("n"))
-    alone = sure.select(F.explode("rt").alias("r")).groupBy("r").agg(F.count(F.lit(1)).alias("nr"))
-    left = sure.select(F.explode("lt").alias("l")).groupBy("l").agg(F.count(F.lit(1)).alias("nl"))
+    sure = sure.select(F.array_intersect("ltokens", common).alias("lt"), F.array_intersect("rtokens", common).alias("rt"), (F.col("lcopies").cast("long") * F.col("rcopies")).alias("w"))
+    both = sure.select(F.explode("rt").alias("r"), "lt", "w").select("r", F.explode("lt").alias("l"), "w").groupBy("r", "l").agg(F.sum("w").alias("n"))
+    alone = sure.select(F.explode("rt").alias("r"), "w").groupBy("r").agg(F.sum("w").alias("nr"))
+    left = sure.select(F.explode("lt").alias("l"), "w").groupBy("l").agg(F.sum("w").alias("nl"))
     dice = both.join(alone, "r").join(left, "l").where((F.col("n") >= 3) & (F.col("n") / F.col("nr") >= 0.5) & (2 * F.col("n") / (F.col("nr") + F.col("nl")) >= 0.15))
     out: dict[str, set[str]] = {}
     for r in bounded_collect(dice.select("r", "l"), MAX_TRANSLATIONS, "translations"):
@@ -287,37 +287,57 @@ class LabelModel:
         return best[1]
 
 
-def assign(scored: DataFrame, rounds: int = 6) -> DataFrame:
-    """One-to-one pairs by mutual best: (lid, rid, confidence).
+def assign(scored: DataFrame) -> DataFrame:
+    """One-to-one pairs by mutual best: (lid, rid, confidence, n, lfrom, rfrom).
 
-    In each round a pair is taken if it is the best of both its sides; pairs with a side taken drop out.
+    In each round a pair is taken if it is the best of both its sides, ties by the smaller ids; pairs with a
+    side used up drop out, until none is left.  ``ln`` and ``rn``, if there, are the copies that a side stands
+    for: a pair takes as many as both have left, ``n`` of them from the copies ``lfrom`` and ``rfrom`` on.
     """
     best = F.struct("confidence", "closeness", (-F.col("lid")).alias("a"), (-F.col("rid")).alias("b"))
-    rest, taken = scored, None
-    for _ in range(rounds):
-        ranked = rest.withColumn("__s", best)
-        top_l = ranked.groupBy("lid").agg(F.max("__s").alias("__s"))
-        top_r = ranked.groupBy("rid").agg(F.max("__s").alias("__s"))
-        won = materialize(ranked.join(top_l, ["lid", "__s"], "left_semi").join(top_r, ["rid", "__s"], "left_semi").select("lid", "rid", "confidence"))
+    copies = [F.col(c) if c in scored.columns else F.lit(1).alias(c) for c in ("ln", "rn")]
+    rest, taken = scored.select("lid", "rid", best.alias("__s"), *copies, F.lit(0).alias("lfrom"), F.lit(0).alias("rfrom")), None
+    while True:
+        top_l = rest.groupBy("lid").agg(F.max("__s").alias("__s"))
+        top_r = rest.groupBy("rid").agg(F.max("__s").alias("__s"))
+        won = rest.join(top_l, ["lid", "__s"], "left_semi").join(top_r, ["rid", "__s"], "left_semi")
+        won = materialize(won.select("lid", "rid", F.col("__s.confidence").alias("confidence"), F.least("ln", "rn").alias("n"), "lfrom", "rfrom"))
         taken = won if taken is None else taken.unionByName(won)
         if won.isEmpty():
-            break
-        rest = materialize(rest.join(won.select("lid"), "lid", "left_anti").join(won.select("rid"), "rid", "left_anti"))
-        if rest.isEmpty():
-            break
-    return taken
+            return taken
+        rest = rest.join(won.select("lid", F.col("n").alias("__l")), "lid", "left").join(won.select("rid", F.col("n").alias("__r")), "rid", "left").fillna(0, ["__l", "__r"])
+        left = {"ln": F.col("ln") - F.col("__l"), "rn": F.col("rn") - F.col("__r"), "lfrom": F.col("lfrom") + F.col("__l"), "rfrom": F.col("rfrom") + F.col("__r")}
+        rest = materialize(rest.withColumns(left).drop("__l", "__r").where("ln > 0 AND rn > 0"))
+
+
+def numbered(rows: DataFrame, of: DataFrame, cols: list[str]) -> DataFrame:
+    """(one, copy, id): every row with the smallest id of its equals and its place among them, from 0.
+
+    ``of`` has the equals once, with ``id`` and the number of them.  Places are counted inside blocks of ids, so that rows
+    with very many equals are not ranked in one task.
+    """
+    same = [F.col(f"__r.{c}").eqNullSafe(F.col(f"__o.{c}")) for c in cols]
+    ids = rows.alias("__r").join(of.alias("__o"), same).select(F.col("__o.id").alias("one"), F.col("__r.id").alias("id"))
+    ids = ids.withColumn("__block", F.floor(F.col("id") / 10_000))
+    sizes = ids.groupBy("one", "__block").count()
+    before = F.coalesce(F.sum("count").over(Window.partitionBy("one").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("one", "__block").orderBy("id")) - 1
+    ids = ids.withColumn("__p", place).join(sizes.withColumn("__before", before), ["one", "__block"])
+    return ids.select("one", (F.col("__p") + F.col("__before")).cast("int").alias("copy"), "id")
 
 
 def link(left: DataFrame, right: DataFrame, country_words: list[str], least: float = 0.8) -> DataFrame:
     """(lid, rid, confidence) of the pairs that are the same thing, each side at most once.
 
     ``left`` and ``right`` have ``id, name, country, year, usd``; any but the id may be null: a null name
-    has no candidates, a null attribute makes its function abstain.  Repeated rows compete and the smaller
-    id wins.  Empty tables give no pair.
+    has no candidates, a null attribute makes its function abstain.  Rows equal in all of this are compared
+    once and paired in the order of their ids.  Empty tables give no pair.
     """
-    cols = ["id", "tokens", "stage", "country", "year", "usd"]
-    ll = materialize(named(left, "name").select(*cols))
-    rr = materialize(named(right, "name").select(*cols))
+    alike = ["tokens", "stage", "country", "year", "usd"]
+    cols = ["id", *alike, "copies"]
+    lrows, rrows = (materialize(named(side, "name").select("id", *alike)) for side in (left, right))
+    ll, rr = (materialize(rows.groupBy(*alike).agg(F.min("id").alias("id"), F.count(F.lit(1)).cast("int").alias("copies")).select(*cols)) for rows in (lrows, rrows))
+    lones, rones = ll, rr
     generic, hot = frequent_words(ll, rr, country_words)
     pairs = candidates(ll, rr, generic, hot)
     # only the words of purpose travel with the pairs
@@ -338,18 +358,24 @@ def link(left: DataFrame, right: DataFrame, country_words: list[str], least: flo
             "closeness": -F.coalesce(gap, F.lit(0.05)) - 0.1 * F.coalesce("d", F.lit(2)),
         }
     )
-    pairs = materialize(pairs.select("lid", "rid", "ltokens", "rtokens", "closeness", *[f for f in FUNCTIONS if f != "purpose"]))
+    pairs = materialize(pairs.select("lid", "rid", "ltokens", "rtokens", "lcopies", "rcopies", "closeness", *[f for f in FUNCTIONS if f != "purpose"]))
     meaning = translations(pairs, generic)
     pairs = pairs.withColumn("purpose", purpose_levels(generic, meaning, country_words)("ltokens", "rtokens")).drop("ltokens", "rtokens")
     pairs = materialize(pairs)
     names = list(FUNCTIONS)
     # at most the product of the numbers of levels: a few thousand patterns, whatever the data
-    seen = bounded_collect(pairs.groupBy(*names).count(), 10_000, "vote patterns")
+    seen = bounded_collect(pairs.groupBy(*names).agg(F.sum(F.col("lcopies").cast("long") * F.col("rcopies")).alias("count")), 10_000, "vote patterns")
     if not seen:
         return pairs.select("lid", "rid", F.lit(0.0).alias("confidence"))
     x = np.array([[r[f] for f in names] for r in seen])
     model = LabelModel(x, np.array([r["count"] for r in seen]), list(FUNCTIONS.values()))
     table = [(*map(int, row), float(p)) for row, p in zip(x, model.p, strict=True) if p >= least]
     posterior = pairs.sparkSession.createDataFrame(table, ", ".join(f"{f} int" for f in names) + ", confidence double")
-    scored = pairs.join(posterior, names).select("lid", "rid", "confidence", "closeness")
-    return assign(materialize(scored))
+    scored = pairs.join(posterior, names).select("lid", "rid", "confidence", "closeness", F.col("lcopies").alias("ln"), F.col("rcopies").alias("rn"))
+    won = assign(materialize(scored))
+    won = won.select("lid", "rid", "confidence", "lfrom", "rfrom", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("__k"))
+    won = won.withColumns({"__l": F.col("lfrom") + F.col("__k"), "__r": F.col("rfrom") + F.col("__k")})
+    for side, rows, ones in (("l", lrows, lones), ("r", rrows, rones)):
+        ids = numbered(rows, ones, alike).select(F.col("one").alias(f"{side}id"), F.col("copy").alias(f"__{side}"), F.col("id").alias(f"{side}row"))
+        won = won.join(ids, [f"{side}id", f"__{side}"])
+    return won.select(F.col("lrow").alias("lid"), F.col("rrow").alias("rid"), "confidence")

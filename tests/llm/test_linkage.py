@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from fundlens.llm import linkage
 
@@ -81,3 +82,21 @@ def test_candidates_without_a_rare_word(spark):
     got, generic, _ = _pairs(spark, left, [(1, ["water"], "C1", 2001, 5e9), (2, ["ur", "project"], "C2", 2000, None), (3, ["water"], "C1", 2009, 8e12)])
     assert generic == ["water"]
     assert got[(100, 1)] is None and got[(101, 2)] == 0 and not {p for p in got if p[1] == 3}
+
+
+def test_assign_to_the_end(spark):
+    # every line is first wanted by the row before: a round settles one pair
+    chain = [(k, k, 0.9, -0.02 * k) for k in range(10)] + [(k + 1, k, 0.9, -0.02 * k - 0.01) for k in range(9)]
+    got = linkage.assign(spark.createDataFrame(chain, "lid long, rid long, confidence double, closeness double")).collect()
+    assert {(r["lid"], r["rid"]) for r in got} == {(k, k) for k in range(10)}
+
+
+def test_links_of_copies(spark):
+    left, right, want = _data(spark)
+    again = lambda df: df.where("id < 20 OR id BETWEEN 1000 AND 1019").withColumn("c", F.explode(F.sequence(F.lit(1), F.lit(9)))).select((F.col("id") + F.col("c") * 100_000).alias("id"), "name", "country", "year", "usd")
+    got = linkage.link(left.union(again(left)), right.union(again(right)), []).collect()
+    pairs = [(r["lid"], r["rid"]) for r in got]
+    once = {p for p in pairs if p in want and p[0] < 20}
+    assert len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs)
+    assert len(once) >= 8
+    assert {(a + c * 100_000, b + c * 100_000) for a, b in once for c in range(10)} <= set(pairs)
