@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fundlens.core.tables import load
 from fundlens.functions import codes, dates, money, numbers, text
-from fundlens.operators import audit, ordered, panel, reconcile, theta
+from fundlens.operators import audit, ids, ordered, panel, reconcile, theta
 from fundlens.operators import records as canonical_records
 from fundlens.sources import html, official
 from fundlens.streaming import landing
@@ -190,12 +190,21 @@ def group_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.group_by_number(r, "number")
 
 
+def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with ``key``, bank and canonical id, and ``roles`` of their official source."""
+    src = load(spark, sf_dir, "official_sources").select(F.col("source_id").alias("official_source_id"), "roles")
+    r = ids.canonical_ids(records(spark, sf_dir)).withColumn("key", F.concat("bank_id", F.lit(":"), "project_key"))
+    return r.join(src, "official_source_id", "left")
+
+
 def supplement_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = records(spark, sf_dir)
-    number = F.regexp_extract("project_id", r"(\d{3})$", 1)
-    loans = r.where("official_source_id = 'kdb_loan_statement_2019'").select(F.col("row_id").alias("id"), F.col("country_code").alias("country"), F.col("approval_year").alias("year"), number.alias("number"))
-    projects = r.where("official_source_id = 'kdb_sovereign_2026-01'").select(F.col("row_id").alias("id"), F.col("country_code").alias("country"), F.col("approval_year").alias("year"), F.col("row_id").alias("ord"), F.array(number).alias("numbers"))
-    return reconcile.supplement(loans, projects)
+    """Rows of supplement sources and their project: a row of a backbone list, else a collected one."""
+    r = _keyed(spark, sf_dir)
+    mine = [F.col("row_id").alias("id"), F.col("country_code").alias("country"), F.col("approval_year").alias("year")]
+    listed = F.coalesce(F.array_contains("roles", "backbone"), F.lit(False))
+    loans = r.where(F.array_contains("roles", "supplement")).select(*mine, F.col("key").alias("number"))
+    projects = r.where(listed | F.col("official_source_id").isNull()).where("key IS NOT NULL")
+    return reconcile.supplement(loans, projects.select(*mine, F.struct((~listed).alias("l"), "row_id").alias("ord"), F.array("key").alias("numbers")))
 
 
 def loan_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,9 +213,12 @@ def loan_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extra_fields_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = records(spark, sf_dir).select(F.col("row_id").alias("id"), F.col("row_id").alias("ord"), text.strip(F.col("project_id")).alias("key"), "bank_id", "province", "completion_date", "financing_instrument", "official_source_id")
-    mine = r.where("bank_id = 'wes' AND official_source_id IS NULL").drop("ord", "official_source_id", "bank_id")
-    return reconcile.extra_fields(mine, r.where("official_source_id = 'wes_export_2026'"), ["province", "completion_date"], "financing_instrument")
+    """Collected rows of the banks that have a source for extra fields, filled from it."""
+    r = _keyed(spark, sf_dir).select(F.col("row_id").alias("id"), F.col("row_id").alias("ord"), "key", "bank_id", "province", "completion_date", "financing_instrument", "official_source_id", "roles")
+    extra = r.where(F.array_contains("roles", "extra-fields"))
+    banks = load(spark, sf_dir, "official_sources").where(F.array_contains("roles", "extra-fields")).select(F.explode("bank_ids").alias("bank_id")).distinct()
+    mine = r.where("official_source_id IS NULL").join(banks, "bank_id", "left_semi").select("id", "key", "province", "completion_date", "financing_instrument")
+    return reconcile.extra_fields(mine, extra, ["province", "completion_date"], "financing_instrument")
 
 
 def fuzzy_match_1to1(spark: SparkSession, sf_dir: str) -> DataFrame:
