@@ -64,14 +64,19 @@ def unmatched(live: DataFrame, official: DataFrame, as_of: str, outside: Column)
     return rest.withColumn("decision", F.when(F.coalesce(recent, F.lit(False)), "kept-recent").when(F.coalesce(outside, F.lit(False)), "kept-scope").otherwise("excluded"))
 
 
-def group_by_number(live: DataFrame, number: str, order: str = "ord") -> DataFrame:
-    """One row per project number: earliest year and date, amounts summed where they share a currency."""
-    return live.where(F.col(number).isNotNull()).groupBy(number).agg(
-        F.count(F.lit(1)).alias("n_records"), F.min("approval_year").alias("approval_year"), F.min("approval_date").alias("approval_date"),
+def group_by_number(live: DataFrame, number: str, order: str = "ord", bank: str = "bank_id") -> DataFrame:
+    """One row per bank and project number: earliest year and date, amounts summed where they share a currency.
+
+    Rows without a number stay as they are.  ``order`` is that of the first row.
+    """
+    grouped = live.where(F.col(number).isNotNull()).groupBy(bank, number).agg(
+        F.min(order).alias(order), F.count(F.lit(1)).alias("n_records"), F.min("approval_year").alias("approval_year"), F.min("approval_date").alias("approval_date"),
         single_currency_sum("loan_amount", "loan_currency").alias("loan_amount"), single_currency("loan_amount", "loan_currency").alias("loan_currency"),
         single_currency_sum("total_disbursement", "disbursement_currency").alias("total_disbursement"),
         F.coalesce(F.max(F.when(F.col("instrument") == "loan", F.lit("loan"))), F.min("instrument")).alias("instrument"),
     )
+    loose = live.where(F.col(number).isNull()).withColumn("n_records", F.lit(1).cast("long"))
+    return grouped.unionByName(loose.select(*grouped.columns))
 
 
 def fuzzy_pairs(official: DataFrame, live: DataFrame, *, ratio: float = 0.8, ratio_with_amount: float = 0.5, tolerance: float = 0.02) -> DataFrame:

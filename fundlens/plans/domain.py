@@ -185,8 +185,8 @@ def backbone_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _dated(spark, sf_dir).withColumn("ord", F.col("row_id")).withColumn("instrument", text.instrument_category(F.col("financing_instrument")))
-    r = r.withColumn("number", F.nullif(F.regexp_extract("project_id", r"(\d{5}-\d{3})", 1), F.lit("")))
+    r = ids.canonical_ids(_dated(spark, sf_dir)).withColumn("ord", F.col("row_id")).withColumn("instrument", text.instrument_category(F.col("financing_instrument")))
+    r = r.withColumn("number", F.when(F.col("project_key").rlike(r"^\d{8}$"), F.regexp_replace("project_key", r"^(\d{5})", "$1-")))
     return reconcile.group_by_number(r, "number")
 
 

@@ -33,3 +33,13 @@ def test_extra_fields_by_role(spark, monkeypatch):
     _tables(monkeypatch, spark, rows)
     got = {(r["id"], r["province"], r["matched"]) for r in domain.extra_fields_fill(spark, "").collect()}
     assert got == {(1, "North", 1), (2, None, 0)}
+
+
+def test_group_by_number_keeps_rows_without(spark, monkeypatch):
+    rows = [(1, "kdb", "11111-001", None, None, 2010), (2, "kdb", "11111_001", None, None, 2008), (3, "esc", "11111-001", None, None, 2011), (4, "wes", "P12345678", None, None, 2012), (5, "wes", None, None, None, None)]
+    _tables(monkeypatch, spark, rows)
+    more = {c: F.lit(None).cast(t) for c, t in {"approval_date": "string", "commitment_date": "string", "loan_amount": "decimal(18,2)", "loan_currency": "string", "total_disbursement": "decimal(18,2)", "disbursement_currency": "string"}.items()}
+    wide = domain.load(spark, "", "project_records").withColumns(more)
+    monkeypatch.setattr(domain, "load", lambda spark, sf_dir, name: wide)
+    got = {(r["bank_id"], r["number"], r["ord"], r["n_records"], r["approval_year"]) for r in domain.group_by_number(spark, "").collect()}
+    assert got == {("kdb", "11111-001", 1, 2, 2008), ("esc", "11111-001", 3, 1, 2011), ("wes", None, 4, 1, 2012), ("wes", None, 5, 1, None)}
