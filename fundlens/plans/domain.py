@@ -74,7 +74,7 @@ def panel_invariant(spark: SparkSession, sf_dir: str) -> DataFrame:
 def panel_private_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     ops = operations(spark, sf_dir)
     private = ops.where("loan_type = 'Non-sovereign' AND code IS NOT NULL").select("bank_id", "code", F.col("analysis_year").alias("year"), F.lit(1).alias("n"), "nominal_cents", "constant_cents").where("year IS NOT NULL")
-    cells = panel.panel(ops.where("loan_type <> 'Non-sovereign'"), FIRST, LAST).select("bank_id", "code", "year", "n_operations")
+    cells = panel.panel(ops.where("NOT (loan_type <=> 'Non-sovereign')"), FIRST, LAST).select("bank_id", "code", "year", "n_operations")
     return panel.with_outer(cells, panel.private_totals(private))
 
 

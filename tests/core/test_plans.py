@@ -43,3 +43,11 @@ def test_group_by_number_keeps_rows_without(spark, monkeypatch):
     monkeypatch.setattr(domain, "load", lambda spark, sf_dir, name: wide)
     got = {(r["bank_id"], r["number"], r["ord"], r["n_records"], r["approval_year"]) for r in domain.group_by_number(spark, "").collect()}
     assert got == {("kdb", "11111-001", 1, 2, 2008), ("esc", "11111-001", 3, 1, 2011), ("wes", None, 4, 1, 2012), ("wes", None, 5, 1, None)}
+
+
+def test_panel_counts_rows_without_loan_type(spark, monkeypatch):
+    kinds = [("AAA", "Non-sovereign"), ("AAA", "Sovereign"), ("AAA", None), ("AAA", None)]
+    ops = spark.createDataFrame([("kdb", c, 2010, t, "no-amount", None, None, None, "loan", "Yes") for c, t in kinds], "bank_id string, code string, analysis_year int, loan_type string, conversion string, nominal_cents long, constant_cents long, ppp_constant_cents long, instrument string, concessional string")
+    monkeypatch.setattr(domain, "operations", lambda spark, sf_dir: ops)
+    got = domain.panel_private_outer(spark, "").collect()
+    assert [(r["n_operations"], r["private_n"]) for r in got] == [(3, 1)]
