@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundlens.functions.text import ascii_fold
+from fundlens.functions.text import ascii_fold, normalize_text
 
 
 def list_key(c: Column) -> Column:
@@ -20,7 +20,7 @@ def tiered_lookup(rows: DataFrame, value: str, tiers: list[DataFrame], out: str)
     Each tier is a list (key, value); of a repeated key the smallest value counts.  The lists are joined one
     after the other as small sides that the optimiser broadcasts by their measured size.
     """
-    df = rows.withColumn("__whole", list_key(F.col(value))).withColumn("__part", list_key(F.regexp_extract(F.col(value), r"^([^;,]*)", 1)))
+    df = rows.withColumn("__whole", list_key(F.col(value))).withColumn("__part", list_key(F.regexp_extract(normalize_text(F.col(value)), r"^([^;,]*)", 1)))
     found: list[Column] = []
     for which in ("__whole", "__part"):
         for k, tier in enumerate(tiers):

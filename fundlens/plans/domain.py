@@ -267,7 +267,7 @@ def scalar_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scalar_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amounts and currencies of notations built from the records' amounts."""
-    r = records(spark, sf_dir).where("loan_amount > 0 AND loan_amount < 1000000000")
+    r = records(spark, sf_dir)
     made = F.concat(F.lit("EUR "), F.floor(F.col("loan_amount")).cast("string"), F.lit(".25 million"))
     return r.select("row_id", numbers.parse_amount(made).alias("a")).select("row_id", F.col("a.amount").cast("double").alias("amount"), "a.currency")
 
@@ -288,7 +288,7 @@ def scalar_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fold_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records(spark, sf_dir).where("NOT contains(project_name, '&')").select("row_id", F.lower(text.ascii_fold(F.col("project_name"))).alias("folded"))
+    return records(spark, sf_dir).select("row_id", F.lower(text.ascii_fold(F.col("project_name"))).alias("folded"))
 
 
 def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,7 +321,7 @@ def star_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ISO codes by code, name or other name: exact tiers, nothing guessed."""
     ref = load(spark, sf_dir, "ref_countries")
-    return codes.tiered_lookup(records(spark, sf_dir).where("NOT contains(country, '&')").select("row_id", "country"), "country", codes.country_tiers(ref), "code")
+    return codes.tiered_lookup(records(spark, sf_dir).select("row_id", "country"), "country", codes.country_tiers(ref), "code")
 
 
 def record_problems(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,3 +51,18 @@ def test_panel_counts_rows_without_loan_type(spark, monkeypatch):
     monkeypatch.setattr(domain, "operations", lambda spark, sf_dir: ops)
     got = domain.panel_private_outer(spark, "").collect()
     assert [(r["n_operations"], r["private_n"]) for r in got] == [(3, 1)]
+
+
+def test_scalars_over_all_rows(spark, monkeypatch):
+    amounts = {1: 5.5, 2: 2e9, 3: 0.0, 4: None, 5: 9e14}
+    rows = spark.createDataFrame(list(amounts.items()), "row_id long, x double").select("row_id", F.col("x").cast("decimal(20,4)").alias("loan_amount"), F.lit("Caf&eacute; &amp; Road").alias("project_name"))
+    monkeypatch.setattr(domain, "load", lambda spark, sf_dir, name: rows)
+    assert {r["row_id"]: r["amount"] for r in domain.scalar_amount(spark, "").collect()} == {k: None if v is None else (int(v) + 0.25) * 1e6 for k, v in amounts.items()}
+    assert {r["folded"] for r in domain.fold_names(spark, "").collect()} == {"cafe & road"}
+
+
+def test_country_codes_resolve_references(spark, monkeypatch):
+    ref = spark.createDataFrame([("CIV", "CI", "Côte d'Amarel", []), ("COL", "CO", "Colmira", [])], "iso3 string, iso2 string, country_name string, alt_names array<string>")
+    rows = spark.createDataFrame([(1, "C&ocirc;te d'Amarel"), (2, "C&ocirc;te d'Amarel; Colmira"), (3, None), (4, "A & B")], "row_id long, country string")
+    monkeypatch.setattr(domain, "load", lambda spark, sf_dir, name: ref if name == "ref_countries" else rows)
+    assert {r["row_id"]: r["code"] for r in domain.country_codes(spark, "").collect()} == {1: "CIV", 2: "CIV", 3: None, 4: None}
