@@ -154,10 +154,10 @@ def supplement(loans: DataFrame, projects: DataFrame, years: int = 6) -> DataFra
     return df.select("id", F.when(place & near, F.col("p.id")).alias("project_id"))
 
 
-def loan_terms(loans: DataFrame, key: str) -> DataFrame:
+def loan_terms(loans: DataFrame, *key: str) -> DataFrame:
     """Terms of a project from its loans: one concession flag or Blended, distinct rates, the last repayment."""
     flags = F.collect_set("concessional")
-    return loans.groupBy(key).agg(
+    return loans.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n_loans"), F.when(F.size(flags) > 1, "Blended").otherwise(F.get(flags, 0)).alias("concessional"),
         F.array_join(F.array_sort(F.collect_set("interest_rate")), "; ").alias("interest_rates"), F.when(F.countDistinct("interest_rate") == 1, F.max("interest_rate")).alias("single_rate"),
         F.max("last_date").alias("last_date"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +34,20 @@ def first_prefix(rows: DataFrame, text: str, prefixes: list[tuple[str, str]]) ->
 def single_member(rows: DataFrame, ident: str, text: str, names: list[tuple[str, str]]) -> DataFrame:
     """(ident, member): the canonical name that a free text mentions as a whole word, if it is exactly one.
 
-    ``names``: (spelling, canonical name), a bounded list; containment is tested in one expression per row.
+    ``names``: (spelling, canonical name), a bounded list; a spelling of several members tells none.  One
+    pattern finds every mention in one pass, the longest spelling at a place; a spelling found is looked up in
+    a map.  Texts without a mention, null texts and an empty list give no row.
     """
-    import re
-
-    hits = F.array_distinct(F.array_compact(F.array(*[F.when(F.col(text).rlike(rf"(?iU)(?<!\w){re.escape(s)}(?!\w)"), F.lit(c)) for s, c in names])))
+    owners: dict[str, set[str]] = {}
+    for spelling, member in names:
+        if spelling and spelling.strip() and member is not None:
+            owners.setdefault(spelling.lower(), set()).add(member)
+    told = {s: next(iter(m)) for s, m in owners.items() if len(m) == 1}
+    if not told:
+        return rows.select(ident, F.lit(None).cast("string").alias("member")).limit(0)
+    pattern = r"(?U)(?<!\w)(" + "|".join(re.escape(s) for s in sorted(told, key=lambda s: (-len(s), s))) + r")(?!\w)"
+    lookup = F.create_map(*[F.lit(x) for kv in sorted(told.items()) for x in kv])
+    hits = F.array_distinct(F.transform(F.regexp_extract_all(F.lower(F.col(text)), F.lit(pattern), F.lit(1)), lambda m: lookup[m]))
     return rows.select(ident, hits.alias("__h")).where(F.size("__h") == 1).select(ident, F.get("__h", 0).alias("member"))
 
 

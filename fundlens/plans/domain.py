@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.core.tables import load
+from fundlens.core.tables import bounded_collect, load
 from fundlens.functions import codes, dates, money, numbers, text
 from fundlens.operators import audit, ids, ordered, panel, reconcile, theta
 from fundlens.operators import records as canonical_records
@@ -110,8 +110,10 @@ def ordered_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def union_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All banks' rows as inputs of one layout, each with its number."""
     r = records(spark, sf_dir).select("row_id", "bank_id", "loan_amount")
-    return ordered.union_checked([r.where(F.col("bank_id") == b) for b in ("kdb", "nrb", "esc")]).groupBy("__input", "bank_id").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("__input", "input_no")
+    banks = sorted(b[0] for b in bounded_collect(r.select("bank_id").distinct(), 10_000, "banks") if b[0] is not None)
+    return ordered.union_checked([r.where(F.col("bank_id") == b) for b in banks]).groupBy("__input", "bank_id").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("__input", "input_no")
 
 
 def set_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,8 +210,10 @@ def supplement_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loan_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = records(spark, sf_dir).where("official_source_id LIKE 'kdb%'").withColumn("last_date", F.col("last_disbursement_date").try_cast("date"))
-    return reconcile.loan_terms(r, "project_id")
+    """Terms of every project of the banks' supplements (lists of loans)."""
+    src = load(spark, sf_dir, "official_sources").where(F.array_contains("roles", "supplement")).select(F.col("source_id").alias("official_source_id")).distinct()
+    r = records(spark, sf_dir).join(src, "official_source_id", "left_semi").withColumn("last_date", F.col("last_disbursement_date").try_cast("date"))
+    return reconcile.loan_terms(r, "bank_id", "project_id")
 
 
 def extra_fields_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,7 +261,9 @@ def prefix_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def member_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = [("Samorique", "SMR"), ("Velmora", "VLM"), ("Torvia", "TRV"), ("Maluna", "MLN")]
+    """Records whose name mentions exactly one country of the list, by its name or another name."""
+    ref = load(spark, sf_dir, "ref_countries").select("iso3", "country_name", "alt_names")
+    names = [(n, r["iso3"]) for r in bounded_collect(ref, 50_000, "countries") for n in [r["country_name"], *(r["alt_names"] or [])] if n]
     return theta.single_member(records(spark, sf_dir).select("row_id", "project_name"), "row_id", "project_name", names)
 
 
@@ -266,10 +272,19 @@ def scalar_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scalar_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Amounts and currencies of notations built from the records' amounts."""
-    r = records(spark, sf_dir)
-    made = F.concat(F.lit("EUR "), F.floor(F.col("loan_amount")).cast("string"), F.lit(".25 million"))
-    return r.select("row_id", numbers.parse_amount(made).alias("a")).select("row_id", F.col("a.amount").cast("double").alias("amount"), "a.currency")
+    """The whole part of every record's amount, written in six notations and read again."""
+    r = records(spark, sf_dir).select("row_id", F.abs(F.floor("loan_amount")).cast("decimal(24,0)").alias("n"))
+    grouped = F.format_number("n", 0)
+    notations = {
+        "worded": F.concat(F.lit("EUR "), F.col("n").cast("string"), F.lit(".25 million")),
+        "grouped": F.concat(F.lit("USD "), grouped, F.lit(".50")),
+        "spanish": F.concat(F.col("n").cast("string"), F.lit(",5 millones de euros")),
+        "bracketed": F.concat(F.lit("(US$ "), grouped, F.lit(")")),
+        "unit of account": F.concat(F.lit("SDR "), F.col("n").cast("string"), F.lit(" mn")),
+        "blanks": F.concat(F.lit("£ "), F.translate(grouped, ",", " ")),
+    }
+    made = r.select("row_id", F.explode(F.array(*[F.struct(F.lit(k).alias("notation"), v.alias("text")) for k, v in notations.items()])).alias("c")).select("row_id", "c.*")
+    return made.select("row_id", "notation", numbers.parse_amount(F.col("text")).alias("a")).select("row_id", "notation", F.col("a.amount").cast("double").alias("amount"), "a.currency")
 
 
 def scalar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:

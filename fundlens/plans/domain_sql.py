@@ -142,7 +142,7 @@ grid AS (SELECT p.bank_id, p.code, CAST(y AS INTEGER) AS year, c.n_operations, c
 SELECT bank_id, code, year, CAST(n_operations IS NOT NULL AS INTEGER) AS observed, CAST(inside AS INTEGER) AS in_coverage,
   coalesce(n_operations, CASE WHEN inside THEN 0 END) AS n_operations, coalesce(usd_2025_total, CASE WHEN inside THEN 0.0 END) AS usd_2025_total FROM grid""",
     "panel_invariant": "SELECT CAST(NULL AS VARCHAR) AS bank_id, CAST(NULL AS INTEGER) AS year, CAST(NULL AS BIGINT) AS got_n, CAST(NULL AS DOUBLE) AS got_usd, CAST(NULL AS BIGINT) AS n_operations, CAST(NULL AS DOUBLE) AS usd_2025_total WHERE false",
-    "panel_private_outer": _OPS + f""", cells AS (SELECT bank_id, code, analysis_year AS year, count(*) AS n_operations FROM ops WHERE {_SCOPE} AND code IS NOT NULL AND loan_type <> 'Non-sovereign' GROUP BY ALL),
+    "panel_private_outer": _OPS + f""", cells AS (SELECT bank_id, code, analysis_year AS year, count(*) AS n_operations FROM ops WHERE {_SCOPE} AND code IS NOT NULL AND loan_type IS DISTINCT FROM 'Non-sovereign' GROUP BY ALL),
 priv AS (SELECT bank_id, code, analysis_year AS year, count(*) AS private_n, {_usd(None, "nominal_cents")} AS private_usd_nominal,
   CASE WHEN max(CASE WHEN nominal_cents IS NOT NULL AND constant_cents IS NULL THEN 1 END) IS NULL THEN {_usd(None)} END AS private_usd_2025 FROM ops WHERE loan_type = 'Non-sovereign' AND code IS NOT NULL AND analysis_year IS NOT NULL GROUP BY ALL)
 SELECT bank_id, code, year, n_operations, private_n, private_usd_nominal, private_usd_2025 FROM cells FULL JOIN priv USING (bank_id, code, year)""",
@@ -156,7 +156,6 @@ SELECT bank_id, code, year, n_operations, private_n, private_usd_nominal, privat
     "first_filled": f"SELECT bank_id, project_id, {_first('status')} AS status, {_first('sector')} AS sector, {_first('loan_type')} AS loan_type FROM project_records GROUP BY ALL",
     "occurrence_ids": "WITH f AS (SELECT *, 'ap-' || substr(sha256(coalesce(economy, '') || '|' || coalesce(CAST(approval_year AS VARCHAR), '')), 1, 12) AS f FROM isdb_approvals), n AS (SELECT *, row_number() OVER (PARTITION BY f ORDER BY list_id) AS n FROM f) SELECT list_id, economy, approval_year, CASE WHEN n = 1 THEN f ELSE f || '-' || n END AS record_id FROM n",
     "ordered_concat": "WITH f AS (SELECT bank_id, country_code, min(row_id) AS o, arg_min(trim(status), row_id) AS v FROM project_records WHERE country_code IS NOT NULL AND trim(status) <> '' GROUP BY bank_id, country_code, lower(trim(status))) SELECT bank_id, country_code, string_agg(v, '; ' ORDER BY o) AS status FROM f GROUP BY ALL",
-    "union_layout": "SELECT CASE bank_id WHEN 'kdb' THEN 0 WHEN 'nrb' THEN 1 ELSE 2 END AS input_no, bank_id, count(*) AS n FROM project_records WHERE bank_id IN ('kdb', 'nrb', 'esc') GROUP BY ALL",
     "set_ops": "WITH a AS (SELECT DISTINCT official_source_id AS source_id FROM project_records WHERE official_source_id IS NOT NULL), b AS (SELECT source_id FROM official_sources) SELECT source_id, 'records' AS side FROM (FROM a EXCEPT FROM b) UNION ALL SELECT source_id, 'list' FROM (FROM b EXCEPT FROM a) UNION ALL SELECT source_id, 'both' FROM (FROM a INTERSECT FROM b)",
     "coverage_by_year": _COVERAGE + "SELECT * FROM coverage",
     "coverage_flags": _COVERAGE + "SELECT bank_id, f.flag AS flag, string_agg(CAST(year AS VARCHAR), ',' ORDER BY year) AS years FROM (SELECT bank_id, year, unnest(string_split(flag, '; ')) AS flag FROM coverage) f WHERE f.flag IN ('low', 'stale') GROUP BY ALL",
@@ -177,17 +176,11 @@ SELECT o.key, coalesce(total_disbursement, s) AS total_disbursement, CASE WHEN t
   CAST(coalesce(na = n_live AND ac = loan_currency AND loan_amount <> 0 AND abs(a - loan_amount) > abs(loan_amount) * 0.01, false) AS INTEGER) AS conflict, coalesce(n_live, 0) AS n_live,
   coalesce(province, p1) AS province, coalesce(status, p2) AS status, coalesce(sector, p3) AS sector FROM off o LEFT JOIN agg ON agg.key = o.key""",
     "backbone_unmatched": _BACKBONE + f"SELECT row_id, CASE WHEN coalesce(CASE WHEN coalesce(approval_date, commitment_date) IS NOT NULL THEN coalesce(approval_date, commitment_date) > DATE '2015-12-31' ELSE approval_year > 2015 END, false) THEN 'kept-recent' WHEN coalesce(({_instrument('financing_instrument')}) = 'trade_finance', false) THEN 'kept-scope' ELSE 'excluded' END AS decision FROM live WHERE key NOT IN (SELECT key FROM off)",
-    "group_by_number": f"WITH r AS (SELECT *, nullif(regexp_extract(project_id, '(\\d{{5}}-\\d{{3}})', 1), '') AS number, {_instrument('financing_instrument')} AS instrument FROM ({_DATED})) SELECT number, count(*) AS n_records, min(approval_year) AS approval_year, min(approval_date) AS approval_date, {_one('loan_amount', 'loan_currency', 'sum({amount})')} AS loan_amount, {_one('loan_amount', 'loan_currency', 'min({cur})')} AS loan_currency, {_one('total_disbursement', 'disbursement_currency', 'sum({amount})')} AS total_disbursement, coalesce(max(CASE WHEN instrument = 'loan' THEN 'loan' END), min(instrument)) AS instrument FROM r WHERE number IS NOT NULL GROUP BY number",
-    "supplement_attach": "WITH l AS (SELECT row_id AS id, country_code AS country, approval_year AS year, regexp_extract(project_id, '(\\d{3})$', 1) AS number FROM project_records WHERE official_source_id = 'kdb_loan_statement_2019'), p AS (SELECT row_id AS id, country_code AS country, approval_year AS year, regexp_extract(project_id, '(\\d{3})$', 1) AS number FROM project_records WHERE official_source_id = 'kdb_sovereign_2026-01' QUALIFY row_number() OVER (PARTITION BY number ORDER BY row_id) = 1) SELECT l.id, CASE WHEN coalesce(l.country = p.country, true) AND coalesce(abs(l.year - p.year) <= 6, true) THEN p.id END AS project_id FROM l LEFT JOIN p ON p.number = l.number",
-    "loan_terms": "SELECT project_id, count(*) AS n_loans, CASE WHEN count(DISTINCT concessional) > 1 THEN 'Blended' ELSE min(concessional) END AS concessional, coalesce(string_agg(DISTINCT interest_rate, '; ' ORDER BY interest_rate), '') AS interest_rates, CASE WHEN count(DISTINCT interest_rate) = 1 THEN max(interest_rate) END AS single_rate, max(try_cast(last_disbursement_date AS DATE)) AS last_date FROM project_records WHERE official_source_id LIKE 'kdb%' GROUP BY ALL",
-    "extra_fields_fill": "WITH o AS (SELECT lower(trim(project_id)) AS k, province, completion_date, financing_instrument FROM project_records WHERE official_source_id = 'wes_export_2026' QUALIFY row_number() OVER (PARTITION BY k ORDER BY row_id) = 1), m AS (SELECT * FROM project_records WHERE bank_id = 'wes' AND official_source_id IS NULL) SELECT m.row_id AS id, trim(m.project_id) AS key, coalesce(m.province, o.province) AS province, coalesce(m.completion_date, o.completion_date) AS completion_date, CASE WHEN o.financing_instrument <> '' AND NOT contains(lower(coalesce(m.financing_instrument, '')), lower(o.financing_instrument)) THEN concat_ws('; ', o.financing_instrument, nullif(coalesce(m.financing_instrument, ''), '')) ELSE m.financing_instrument END AS financing_instrument, CAST(o.k IS NOT NULL AS INTEGER) AS matched FROM m LEFT JOIN o ON o.k = lower(trim(m.project_id))",
     "theta_contains": "WITH n AS (SELECT *, regexp_replace(lower(project_id), '[^a-z0-9]+', '', 'g') AS k FROM project_records), keys AS (SELECT DISTINCT bank_id, k FROM n WHERE official_source_id IS NOT NULL AND approval_year IS NOT NULL AND k <> ''), ids AS (SELECT DISTINCT bank_id, k FROM n WHERE official_source_id IS NULL AND k <> '') SELECT bank_id, k AS key FROM keys WHERE EXISTS (SELECT 1 FROM ids WHERE ids.bank_id = keys.bank_id AND contains(ids.k, keys.k))",
     "donor_profile": "WITH n AS (SELECT *, regexp_replace(lower(project_id), '[^a-z0-9]+', '', 'g') AS k, coalesce(concessional = 'Yes', false) AS soft, loan_amount_usd AS c FROM project_records), ids AS (SELECT DISTINCT bank_id, k FROM n WHERE official_source_id IS NULL AND k <> ''), r AS (SELECT * FROM n WHERE official_source_id IS NOT NULL AND approval_year IS NOT NULL), keys AS (SELECT DISTINCT bank_id, k FROM r WHERE k <> ''), hit AS (SELECT * FROM keys WHERE EXISTS (SELECT 1 FROM ids WHERE ids.bank_id = keys.bank_id AND contains(ids.k, keys.k))) SELECT r.bank_id, approval_year AS year, count(*) AS n_rows, count(*) FILTER (WHERE c > 0) AS n_with_commitment, count(DISTINCT CASE WHEN c > 0 AND trim(project_id) <> '' THEN project_id END) AS n_projects, CAST(coalesce(sum(CASE WHEN c > 0 THEN c END), 0) AS DOUBLE) AS commitment, round_even(CAST(coalesce(sum(CASE WHEN c > 0 AND soft THEN c END), 0) AS DOUBLE) / CAST(sum(CASE WHEN c > 0 THEN c END) AS DOUBLE), 3) AS soft_share, count(DISTINCT CASE WHEN h.k IS NOT NULL AND c > 0 AND trim(project_id) <> '' THEN project_id END) AS n_matching FROM r LEFT JOIN hit h ON h.bank_id = r.bank_id AND h.k = r.k GROUP BY ALL",
     "prefix_first": "SELECT row_id, CASE WHEN lower(trim(bank_name)) LIKE 'karst%' THEN 'kdb' WHEN lower(trim(bank_name)) LIKE 'north%' THEN 'nrb' WHEN lower(trim(bank_name)) LIKE 'n%' THEN 'any' WHEN lower(trim(bank_name)) LIKE 'silt basin%' THEN 'sil' END AS owner FROM project_records",
     "scalar_currency": f"SELECT row_id, CASE WHEN lower({_CUR}) IN ({', '.join(repr(w) for w in _NULLS)}) THEN NULL WHEN contains({_CUR}, 'US$') THEN 'USD' WHEN contains({_CUR}, '€') THEN 'EUR' WHEN regexp_matches(upper({_CUR}), '(^|[^A-Z])US DOLLARS?($|[^A-Z])') THEN 'USD' WHEN regexp_matches(upper({_CUR}), '(^|[^A-Z])EUROS?($|[^A-Z])') THEN 'EUR' WHEN regexp_matches(upper({_CUR}), '(^|[^A-Z])SDR($|[^A-Z])') THEN 'XDR' WHEN regexp_matches(upper({_CUR}), '(^|[^A-Z])USD($|[^A-Z])') THEN 'USD' WHEN regexp_matches(upper({_CUR}), '(^|[^A-Z])EUR($|[^A-Z])') THEN 'EUR' WHEN regexp_matches(upper({_CUR}), '(^|[^A-Z])XDR($|[^A-Z])') THEN 'XDR' END AS currency FROM project_records",
-    "scalar_amount": "SELECT row_id, CAST((CAST(floor(loan_amount) AS DECIMAL(20,0)) + 0.25) * 1000000 AS DOUBLE) AS amount, 'EUR' AS currency FROM project_records WHERE loan_amount > 0 AND loan_amount < 1000000000",
     "scalar_dates": "WITH r AS (SELECT row_id, try_cast(approval_date AS DATE) AS d, try_cast(completion_date AS DATE) AS e FROM project_records) SELECT row_id, CAST(d AS VARCHAR) AS day_first, CAST(NULL AS VARCHAR) AS unknown_order, CAST(d AS VARCHAR) AS worded, CAST(year(d) AS INTEGER) AS year, CASE WHEN e - d >= 0 THEN round_even((e - d) / 365.2425::DOUBLE, 3) END AS years FROM r WHERE d IS NOT NULL",
-    "fold_names": "SELECT row_id, lower(strip_accents(trim(regexp_replace(project_name, '[\\s ]+', ' ', 'g')))) AS folded FROM project_records WHERE NOT contains(project_name, '&')",
     "html_links": "SELECT row_id, 0 AS pos, project_url AS href, trim(regexp_replace(bank_name, '\\s+', ' ', 'g')) AS label FROM project_records WHERE project_url IS NOT NULL AND bank_name IS NOT NULL",
     "event_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
     "star_revenue": "SELECT r_name, n_name, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_lines, CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL",
@@ -208,13 +201,92 @@ SELECT row_id, CAST(y AS INTEGER) AS approval_year, CAST(coalesce(total_commitme
   CASE WHEN total_commitment IS NULL AND loan_amount IS NOT NULL THEN loan_currency ELSE commitment_currency END AS commitment_currency,
   CAST(coalesce(pipeline_stage, CAST(lower(status) IN ('pipeline', 'proposed', 'under appraisal', 'planned') AS TINYINT)) AS INTEGER) AS pipeline_stage
 FROM r WHERE y IS NULL OR y BETWEEN {FIRST} AND {LAST}"""
-_K = "trim(regexp_replace(lower(strip_accents({c})), '[^a-z0-9]+', ' ', 'g'))"
+# DuckDB resolves no character references: a letter with its mark is the letter (as after folding), the rest by name.
+_REFS = "replace(replace(replace(regexp_replace({c}, '&([A-Za-z])(acute|grave|circ|uml|tilde|cedil|ring|caron);', '\\1', 'g'), '&amp;', '&'), '&#39;', chr(39)), '&apos;', chr(39))"
+_TIDY = "trim(regexp_replace(" + _REFS + ", '[\\s\u00a0]+', ' ', 'g'))"
+_SAID = "CASE WHEN lower(" + _TIDY + ") NOT IN (" + ", ".join(repr(w) for w in _NULLS) + ") THEN " + _TIDY + " END"
+_K = "trim(regexp_replace(lower(strip_accents(" + _SAID + ")), '[^a-z0-9]+', ' ', 'g'))"
 ORACLE_SQL["country_codes"] = f"""
 WITH t AS (SELECT 1 AS tier, iso3 AS k, iso3 AS v FROM ref_countries UNION ALL SELECT 1, iso2, iso3 FROM ref_countries UNION ALL SELECT 2, country_name, iso3 FROM ref_countries UNION ALL SELECT 3, unnest(alt_names), iso3 FROM ref_countries),
-tier AS (SELECT tier, {_K.format(c="k")} AS k, min(v) AS v FROM t GROUP BY ALL),
-r AS (SELECT row_id, country, {_K.format(c="country")} AS w, {_K.format(c="regexp_extract(country, '^([^;,]*)', 1)")} AS p FROM project_records WHERE NOT contains(country, '&')),
+tier AS (SELECT tier, {_K.format(c="k")} AS k, min(v) AS v FROM t GROUP BY ALL HAVING {_K.format(c="k")} <> ''),
+r AS (SELECT row_id, country, {_K.format(c="country")} AS w, {_K.format(c="regexp_extract(" + _SAID.format(c="country") + ", '^([^;,]*)', 1)")} AS p FROM project_records),
 hit AS (SELECT row_id, 0 AS part, tier, v FROM r JOIN tier ON tier.k = r.w UNION ALL SELECT row_id, 1, tier, v FROM r JOIN tier ON tier.k = r.p)
 SELECT r.row_id, r.country, arg_min(h.v, h.part * 10 + h.tier) AS code FROM r LEFT JOIN hit h ON h.row_id = r.row_id GROUP BY r.row_id, r.country"""
+ORACLE_SQL["fold_names"] = f"SELECT row_id, lower(strip_accents({_SAID.format(c='project_name')})) AS folded FROM project_records"
+# Ids as one key of letters and digits; what stands before a bank's commonest shape is a prefix.
+_IDS = f"""
+WITH x AS (SELECT *, nullif(regexp_replace(lower(project_id), '[^\\p{{L}}\\p{{N}}]', '', 'g'), '') AS plain FROM ({_DATED})),
+shaped AS (SELECT *, regexp_replace(regexp_replace(plain, '\\p{{L}}', 'A', 'g'), '\\p{{N}}', '9', 'g') AS shape FROM x),
+usual AS (SELECT bank_id, shape AS usual FROM shaped WHERE plain IS NOT NULL GROUP BY bank_id, shape QUALIFY row_number() OVER (PARTITION BY bank_id ORDER BY count(*) DESC, shape DESC) = 1),
+ids AS (SELECT s.*, CASE WHEN suffix(shape, usual) THEN right(plain, length(usual)) ELSE plain END AS k, o.roles FROM shaped s LEFT JOIN usual u ON u.bank_id IS NOT DISTINCT FROM s.bank_id
+  LEFT JOIN official_sources o ON o.source_id = s.official_source_id)
+"""
+_NUMBERED = "bank_id, number, row_id AS ord, 1 AS n_records, approval_year, approval_date, loan_amount, loan_currency, total_disbursement, instrument"
+ORACLE_SQL["group_by_number"] = (
+    _IDS + f""", r AS (SELECT *, CASE WHEN regexp_full_match(k, '[0-9]{{8}}') THEN left(k, 5) || '-' || right(k, 3) END AS number, {_instrument('financing_instrument')} AS instrument FROM ids)
+SELECT bank_id, number, min(row_id) AS ord, count(*) AS n_records, min(approval_year) AS approval_year, min(approval_date) AS approval_date, {_one('loan_amount', 'loan_currency', 'sum({amount})')} AS loan_amount,
+  {_one('loan_amount', 'loan_currency', 'min({cur})')} AS loan_currency, {_one('total_disbursement', 'disbursement_currency', 'sum({amount})')} AS total_disbursement,
+  coalesce(max(CASE WHEN instrument = 'loan' THEN 'loan' END), min(instrument)) AS instrument FROM r WHERE number IS NOT NULL GROUP BY bank_id, number
+UNION ALL SELECT {_NUMBERED} FROM r WHERE number IS NULL"""
+)
+ORACLE_SQL["supplement_attach"] = (
+    _IDS + """, p AS (SELECT *, coalesce(list_contains(roles, 'backbone'), false) AS listed FROM ids WHERE k IS NOT NULL AND bank_id IS NOT NULL AND (official_source_id IS NULL OR list_contains(roles, 'backbone'))
+  QUALIFY row_number() OVER (PARTITION BY bank_id, k ORDER BY listed DESC, row_id) = 1)
+SELECT l.row_id AS id, CASE WHEN coalesce(l.country_code = p.country_code, true) AND coalesce(abs(l.approval_year - p.approval_year) <= 6, true) THEN p.row_id END AS project_id
+FROM ids l LEFT JOIN p ON p.bank_id = l.bank_id AND p.k = l.k WHERE list_contains(l.roles, 'supplement')"""
+)
+ORACLE_SQL["extra_fields_fill"] = (
+    _IDS + """, o AS (SELECT * FROM ids WHERE list_contains(roles, 'extra-fields') AND k IS NOT NULL AND bank_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lower(bank_id), k ORDER BY row_id) = 1),
+banks AS (SELECT DISTINCT unnest(bank_ids) AS bank_id FROM official_sources WHERE list_contains(roles, 'extra-fields'))
+SELECT m.row_id AS id, m.bank_id || ':' || m.k AS key, coalesce(m.province, o.province) AS province, coalesce(m.completion_date, o.completion_date) AS completion_date,
+  CASE WHEN o.financing_instrument <> '' AND NOT contains(lower(coalesce(m.financing_instrument, '')), lower(o.financing_instrument)) THEN concat_ws('; ', o.financing_instrument, nullif(coalesce(m.financing_instrument, ''), '')) ELSE m.financing_instrument END AS financing_instrument,
+  CAST(o.k IS NOT NULL AS INTEGER) AS matched FROM ids m LEFT JOIN o ON lower(o.bank_id) = lower(m.bank_id) AND o.k = m.k WHERE m.official_source_id IS NULL AND m.bank_id IN (SELECT bank_id FROM banks)"""
+)
+ORACLE_SQL["loan_terms"] = (
+    "SELECT p.bank_id, project_id, count(*) AS n_loans, CASE WHEN count(DISTINCT concessional) > 1 THEN 'Blended' ELSE min(concessional) END AS concessional, coalesce(string_agg(DISTINCT interest_rate, '; ' ORDER BY interest_rate), '') AS interest_rates, "
+    "CASE WHEN count(DISTINCT interest_rate) = 1 THEN max(interest_rate) END AS single_rate, max(try_cast(last_disbursement_date AS DATE)) AS last_date FROM project_records p JOIN official_sources o ON o.source_id = p.official_source_id WHERE list_contains(roles, 'supplement') GROUP BY p.bank_id, project_id"
+)
+ORACLE_SQL["union_layout"] = "SELECT CAST(dense_rank() OVER (ORDER BY bank_id) - 1 AS INTEGER) AS input_no, bank_id, count(*) AS n FROM project_records WHERE bank_id IS NOT NULL GROUP BY bank_id"
+_N = "CAST(abs(floor(loan_amount)) AS DECIMAL(24,2))"
+ORACLE_SQL["scalar_amount"] = (
+    f"WITH n AS (SELECT row_id, {_N} AS n FROM project_records), a AS ("
+    + " UNION ALL ".join(
+        f"SELECT row_id, '{name}' AS notation, CAST({value} AS DOUBLE) AS amount, CASE WHEN n IS NOT NULL THEN '{code}' END AS currency FROM n"
+        for name, value, code in [
+            ("worded", "(n + 0.25) * 1000000", "EUR"), ("grouped", "n + 0.5", "USD"), ("spanish", "(n + 0.5) * 1000000", "EUR"),
+            ("bracketed", "-n", "USD"), ("unit of account", "n * 1000000", "XDR"), ("blanks", "n", "GBP"),
+        ]
+    )
+    + ") SELECT * FROM a"
+)
+# a word for a public or private borrower inside the folded text
+_L = "trim(regexp_replace(lower(strip_accents(" + _SAID.format(c="loan_type") + ")), '[^a-z0-9]+', ' ', 'g'))"
+ORACLE_SQL["scalar_types"] = (
+    f"SELECT row_id, CASE WHEN {_L} = 'nsg' OR regexp_matches({_L}, 'non ?sovereign|private|privado|sin garantia soberana|no soberan[oa]') THEN 'Non-sovereign' WHEN regexp_matches({_L}, '(quasi sovereign|cuasi soberano)') THEN 'Quasi-sovereign' "
+    f"WHEN {_L} = 'sg' OR regexp_matches({_L}, 'sovereign|public|soberan[oa]|state|government|gobierno') THEN 'Sovereign' ELSE {_SAID.format(c='loan_type')} END AS loan_type, {_instrument('financing_instrument')} AS instrument FROM project_records"
+)
+_W = "CASE WHEN trim({c}) <> 'None' THEN " + _SAID + " END"
+ORACLE_SQL["list_reader"] = (
+    "SELECT rec_no, regexp_extract(upper(coalesce(" + _W.format(c="afdb_identifier") + ", '')), '(P-[A-Z0-9]{2}-[A-Z0-9]{3}-[0-9]{3})', 1) AS project_id, " + _W.format(c="title") + " AS project_name, "
+    "CASE WHEN len(codes) = 1 THEN codes[1] END AS country_code, " + _W.format(c="country") + " AS country, try_cast(" + _W.format(c="approval_date") + " AS DATE) AS approval_date, "
+    "CAST(try_cast(" + _W.format(c="total_commitments_usd") + " AS DECIMAL(22,4)) AS DECIMAL(22,4)) AS loan_amount, 'USD' AS loan_currency, try_cast(" + _W.format(c="total_disbursements_usd") + " AS DECIMAL(22,4)) AS total_disbursement, "
+    + _W.format(c="activity_status") + " AS status, CASE upper(afdb_status) WHEN 'ADB' THEN 'No' WHEN 'ADF' THEN 'Yes' WHEN 'BLEND' THEN 'Blended' END AS concessional, " + _W.format(c="afdb_sector")
+    + " AS sector FROM (SELECT *, regexp_extract_all(upper(CASE WHEN trim(country_codes) <> 'None' THEN country_codes ELSE '' END), '([A-Z0-9]{2})', 1) AS codes FROM afdb_projects)"
+)
+ORACLE_SQL["approvals_reader"] = (
+    "WITH a AS (SELECT list_id, " + _SAID.format(c="economy") + " AS country, " + _SAID.format(c="project_name") + " AS project_name, CAST(CAST(us_million AS DECIMAL(18,6)) * 1000000 AS DECIMAL(22,4)) AS loan_amount, 'USD' AS loan_currency, "
+    "approval_year, mode_of_finance AS financing_instrument FROM isdb_approvals), f AS (SELECT *, 'approval-' || substr(sha256(concat_ws('|', coalesce(country, ''), coalesce(project_name, ''), coalesce(CAST(approval_year AS VARCHAR), ''), "
+    "coalesce(CAST(loan_amount AS VARCHAR), ''))), 1, 12) AS f FROM a) SELECT * EXCLUDE (f), CASE WHEN n = 1 THEN f ELSE f || '-' || n END AS record_id FROM (SELECT *, row_number() OVER (PARTITION BY f ORDER BY list_id) AS n FROM f) QUALIFY true"
+).replace("SELECT * EXCLUDE (f), CASE", "SELECT * EXCLUDE (f, n), CASE").replace(" QUALIFY true", "")
+_PLAIN = "' ' || trim(regexp_replace(lower({c}), '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g')) || ' '"
+# a name inside a longer one that is there as well is not a mention of its own
+ORACLE_SQL["member_containment"] = f"""
+WITH names AS (SELECT iso3 AS member, lower(country_name) AS n FROM ref_countries UNION SELECT iso3, lower(unnest(alt_names)) FROM ref_countries),
+told AS (SELECT n, {_PLAIN.format(c="n")} AS k, min(member) AS member FROM names WHERE length(trim(n)) > 0 GROUP BY n HAVING count(DISTINCT member) = 1),
+texts AS (SELECT row_id, {_PLAIN.format(c="project_name")} AS t FROM project_records),
+hits AS (SELECT row_id, member, k FROM texts JOIN told ON contains(t, k)),
+widest AS (SELECT * FROM hits h WHERE NOT EXISTS (SELECT 1 FROM hits g WHERE g.row_id = h.row_id AND length(g.k) > length(h.k) AND contains(g.k, h.k)))
+SELECT row_id, min(member) AS member FROM widest GROUP BY row_id HAVING count(DISTINCT member) = 1"""
 _P4 = """
 WITH v AS (
   SELECT load_no, 'loan_amount' AS column_name, CAST(loan_amount AS DECIMAL(32,4)) AS x, CAST(NULL AS VARCHAR) AS t, loan_amount IS NOT NULL AS there FROM project_records

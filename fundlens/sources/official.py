@@ -43,9 +43,12 @@ WINDOW_TERMS = {"ADB": "No", "ADF": "Yes", "BLEND": "Blended"}
 
 
 def group_list(df: DataFrame) -> DataFrame:
-    """The list in the layout of ``afdb_projects``; the word None means null; a single code is the country's."""
+    """The list in the layout of ``afdb_projects``; the word None means null; a single code is the country's.
+
+    Codes are read from the cell as it is: ``NA`` is a lawful code, not a word for nothing.
+    """
     word = lambda name: F.when(F.trim(_c(name)) != "None", normalize_text(_c(name)))
-    codes = F.regexp_extract_all(F.upper(F.coalesce(word("country_codes"), F.lit(""))), F.lit(r"([A-Z0-9]{2})"), F.lit(1))
+    codes = F.regexp_extract_all(F.upper(F.coalesce(F.when(F.trim(_c("country_codes")) != "None", _c("country_codes")), F.lit(""))), F.lit(r"([A-Z0-9]{2})"), F.lit(1))
     window = F.upper(word("afdb_status"))
     terms = F.lit(None).cast("string")
     for w, t in WINDOW_TERMS.items():

@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from fundlens.operators import theta
 from fundlens.plans import domain
+from fundlens.sources import official
 
 SOURCES = [("kl", ["kdb"], ["backbone"]), ("ks", ["kdb"], ["supplement"]), ("ws", ["wes"], ["supplement", "extra-fields"])]
 COLUMNS = "row_id long, bank_id string, project_id string, official_source_id string, country_code string, approval_year int, province string, completion_date string, financing_instrument string"
@@ -57,7 +59,13 @@ def test_scalars_over_all_rows(spark, monkeypatch):
     amounts = {1: 5.5, 2: 2e9, 3: 0.0, 4: None, 5: 9e14}
     rows = spark.createDataFrame(list(amounts.items()), "row_id long, x double").select("row_id", F.col("x").cast("decimal(20,4)").alias("loan_amount"), F.lit("Caf&eacute; &amp; Road").alias("project_name"))
     monkeypatch.setattr(domain, "load", lambda spark, sf_dir, name: rows)
-    assert {r["row_id"]: r["amount"] for r in domain.scalar_amount(spark, "").collect()} == {k: None if v is None else (int(v) + 0.25) * 1e6 for k, v in amounts.items()}
+    got = domain.scalar_amount(spark, "").collect()
+    assert {r["row_id"]: r["amount"] for r in got if r["notation"] == "worded"} == {k: None if v is None else (int(v) + 0.25) * 1e6 for k, v in amounts.items()}
+    assert len(got) == 6 * len(amounts) and {r["currency"] for r in got if r["row_id"] == 4} == {None}
+    assert {r["notation"]: (r["amount"], r["currency"]) for r in got if r["row_id"] == 2} == {
+        "worded": (2_000_000_000.25e6, "EUR"), "grouped": (2_000_000_000.5, "USD"), "spanish": (2_000_000_000.5e6, "EUR"),
+        "bracketed": (-2e9, "USD"), "unit of account": (2e15, "XDR"), "blanks": (2e9, "GBP"),
+    }
     assert {r["folded"] for r in domain.fold_names(spark, "").collect()} == {"cafe & road"}
 
 
@@ -66,3 +74,18 @@ def test_country_codes_resolve_references(spark, monkeypatch):
     rows = spark.createDataFrame([(1, "C&ocirc;te d'Amarel"), (2, "C&ocirc;te d'Amarel; Colmira"), (3, None), (4, "A & B")], "row_id long, country string")
     monkeypatch.setattr(domain, "load", lambda spark, sf_dir, name: ref if name == "ref_countries" else rows)
     assert {r["row_id"]: r["code"] for r in domain.country_codes(spark, "").collect()} == {1: "CIV", 2: "CIV", 3: None, 4: None}
+
+
+def test_single_member(spark):
+    names = [("Torvia", "TOR"), ("North Torvia", "NTO"), ("Maluna", "MAL"), ("Both", "A"), ("Both", "B"), ("", "X"), (None, "Y")]
+    rows = [(1, "Roads in torvia"), (2, "Roads in North Torvia"), (3, "Maluna and Torvia link"), (4, "Torvian roads"), (5, None), (6, ""), (7, "Both banks"), (8, "Torvia-Torvia"), (9, "x " * 50_000 + "Maluna")]
+    got = theta.single_member(spark.createDataFrame(rows, "id int, name string"), "id", "name", names)
+    assert {r["id"]: r["member"] for r in got.collect()} == {1: "TOR", 2: "NTO", 8: "TOR", 9: "MAL"}
+    assert theta.single_member(spark.createDataFrame(rows, "id int, name string"), "id", "name", []).count() == 0
+
+
+def test_list_keeps_codes_that_look_like_nothing(spark):
+    cols = "rec_no afdb_identifier title country country_codes activity_status approval_date total_commitments_usd total_disbursements_usd afdb_sector afdb_status".split()
+    row = ["1", "P-AA-BBB-001", "T", "C", "NA", "Open", "2020-01-02", "5.5", "None", "Roads", "ADF"]
+    (got,) = official.group_list(spark.createDataFrame([row], cols)).collect()
+    assert (got["country_code"], got["concessional"], got["total_disbursement"]) == ("NA", "Yes", None)
