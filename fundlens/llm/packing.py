@@ -80,7 +80,8 @@ def pack(sizes: DataFrame, specs: DataFrame, *, key: str = "doc_id", size: str =
             yield pd.DataFrame(out, columns=names)
         yield pd.DataFrame([(s, (part << 32) + w, *i, True) for s, _ in listed for w, *i in fits[s].rest()], columns=names)
 
-    items = sizes.where(F.col(size) > 0).select(F.col(key).cast("long").alias(key), F.col(size).cast("long").alias(size))
+    # null and 0 are left out by the packer: a filter here would have the sizes computed twice
+    items = sizes.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias(size))
     placed = materialize(items.mapInPandas(online, schema))
 
     def merge(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

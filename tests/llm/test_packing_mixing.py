@@ -29,9 +29,19 @@ def test_packing_keeps_everything(spark):
 def test_sizes(spark):
     texts = [(1, "The loan was cancelled.", "a"), (2, "", "a"), (3, None, None), (4, "<|endoftext|> x", "b"), (5, "word " * 40_000, "b")]
     got = {r["doc_id"]: r["n_tokens"] for r in tokens.sizes(spark.createDataFrame(texts, "doc_id long, text string, source string"), keep=("source",)).collect()}
+    twice = spark.createDataFrame([(6, "The loan was cancelled."), (7, "The loan was cancelled."), (7, None)], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in tokens.sizes(twice.coalesce(1)).where("n_tokens >= 0").collect()) == [(6, 5), (7, 0), (7, 5)]
     assert got[2] == got[3] == 0 and got[1] == 5 and got[4] > 2 and got[5] >= 40_000
 
 
+def test_ranks_and_json_count_alike():
+    rng = random.Random(3)
+    texts = ["", "a" * 50_000, " " * 60_000 + "x", "x\n" + "\n" * 60_000, "<|endoftext|>", "漢字" * 900, "Prêt à l'État n° 12\t\tUSD 1,000.5 million!!", "\0" * 9]
+    texts += ["".join(rng.choice("aé \n.7'x") for _ in range(rng.randint(1, 400))) for _ in range(200)]
+    ranks, listed = tokens.counter(tokens.TOKENIZER), tokens.counter("/opt/tokenizers/byte_bpe_50k.json")
+    assert ranks(texts) == listed(texts)
+
+
 def test_subset_against_brute_force():
     rng = random.Random(4)
     for _ in range(200):
