@@ -1,4 +1,6 @@
 import json
+import random
+from collections import Counter
 
 from fundlens.operators import drift
 
@@ -38,3 +40,54 @@ def test_table_and_empty(spark):
     assert got[2]["failed_casts"] == ["approval_date"] and set(got) == {1, 2}
     rows, files = _frames(spark, lines)
     assert drift.changes(rows.limit(0), files).count() == 0 and drift.consistent_table(rows.limit(0), files).count() == 0
+
+
+def test_table_follows_renames(spark):
+    """A spelling no list knows is found through its data; an object's first text is its value; repeats stay."""
+    one = [{"project_id": f"P{k}", "title": f"Road {k}", "note": k} for k in range(6)]
+    two = [{"ref no": f"P{k}", "denomination": {"en": f"Road {k}", "short": "R"}, "note": None} for k in range(6)]
+    three = [{"kennung": f"P{k}", "denomination": f"Road {k}", "misc": True} for k in range(6)]
+    lines = [(f"f{n}", k, json.dumps(r)) for n, rows in enumerate((one, two, three), 1) for k, r in enumerate(rows)] + [("f2", 0, json.dumps(two[0])), ("f2", 9, "{}")]
+    rows, files = _frames(spark, lines)
+    got = drift.consistent_table(rows, files.unionByName(files)).collect()
+    assert len(got) == 20
+    assert {(r["project_id"], r["project_name"]) for r in got} == {(f"P{k}", f"Road {k}") for k in range(6)} | {(None, None)}
+    assert {r["other_fields"] for r in got if r["file_id"] == "f3"} == {'{"misc": "true"}'}
+    found = {tuple(r) for r in drift.changes(rows, files).collect()}
+    assert found == {
+        ("f2", "renamed", "project_id", "ref no"), ("f2", "renamed", "title", "denomination"),
+        ("f3", "renamed", "ref no", "kennung"), ("f3", "retyped", "denomination", "denomination"), ("f3", "removed", "note", ""), ("f3", "added", "", "misc"),
+    }
+
+
+def test_changes_against_brute_force(spark):
+    """Random layouts: the same changes as counting all values of all fields in one process."""
+    rng = random.Random(5)
+    names = ["a", "b", "c", "d", "e"]
+    lines = []
+    for f in range(8):
+        kept = rng.sample(names, 3)
+        for k in range(12):
+            lines.append((f"f{f}", k, json.dumps({n: rng.choice([f"v{k}", k, None, [f"v{k}"], rng.randint(0, 3)]) for n in kept if rng.random() < 0.9})))
+    rows, files = _frames(spark, lines)
+    want, last = set(), None
+    for f in sorted({x[0] for x in lines}):
+        held: dict[str, list] = {}
+        for _, _, p in (x for x in lines if x[0] == f):
+            for n, v in json.loads(p).items():
+                held.setdefault(n, []).append(v)
+        kinds = {n: "|".join(sorted({"array" if isinstance(v, list) else "string" if isinstance(v, str) else "number" for v in vs if v is not None})) for n, vs in held.items()}
+        data = {n: Counter(str(v[0] if isinstance(v, list) else v).lower() for v in vs if v is not None) for n, vs in held.items()}
+        if last:
+            want |= {(f, "retyped", n, n) for n in kinds.keys() & last[0].keys() if kinds[n] != last[0][n] and kinds[n] and last[0][n]}
+            went, came = last[0].keys() - kinds.keys(), kinds.keys() - last[0].keys()
+            score = {}
+            for o in went:
+                for n in came:
+                    common, least = sum((last[1][o] & data[n]).values()), min(last[1][o].total(), data[n].total())
+                    if least and common / least >= drift.RENAME_OVERLAP:
+                        score[o, n] = (-common / least, -common, o, n)
+            won = {(o, n) for (o, n), s in score.items() if s == min(v for (x, _), v in score.items() if x == o) == min(v for (_, y), v in score.items() if y == n)}
+            want |= {(f, "renamed", o, n) for o, n in won} | {(f, "removed", o, "") for o in went - {o for o, _ in won}} | {(f, "added", "", n) for n in came - {n for _, n in won}}
+        last = (kinds, data)
+    assert {tuple(r) for r in drift.changes(rows, files).collect()} == want and any(w[1] == "renamed" for w in want)
