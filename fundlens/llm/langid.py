@@ -2,7 +2,8 @@
 
 Every letter is a random vector of +1 and -1; a letter n-gram is the product of its letters' vectors, each
 rolled by its place; a text is the sum (bundle) of its n-grams.  Languages have prototypes - bundles of
-texts with a readable label - and a text has the language whose prototype has the largest cosine.
+texts with a readable label - and a text has the language whose prototype has the largest cosine.  The texts
+of a batch are folded one by one and coded, counted and compared together.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -24,41 +26,111 @@ NGRAM = 3
 SEED = 20_011
 #: Labelled texts per language that the prototypes are bundled from: a bounded sample, chosen by hash.
 SAMPLE_PER_LANGUAGE = 2_000
+#: Texts that are coded together: what bounds a task's memory beside the longest text.
+TOGETHER = 256
 #: Codes of letters: folded Latin letters, the apostrophe and the blank.
 ALPHABET = " abcdefghijklmnopqrstuvwxyz'"
 #: Cyrillic letters in Latin ones, so that a language has one profile in either script.
 LATIN = dict(zip("абвгдежзийклмнопрстуфхцчшщъыьэюяё", "a b v g d e zh z i y k l m n o p r s t u f kh ts ch sh shch  y  e yu ya yo".split(" "), strict=True))
+# English names of languages, beside those of the list.
+ENGLISH = {"en": "english", "fr": "french", "es": "spanish", "pt": "portuguese", "it": "italian", "de": "german", "id": "indonesian", "ru": "russian"}
 #: Scanners read l as 1 and o as 0 inside words.
 _SCANNED = re.compile(r"(?<=[^\W\d_])[10](?![\d/])|(?<![\d/])[10](?=[^\W\d_])")
-_MARKS = re.compile(r"«[^»\n]*»|“[^”\n]*”|\[[^\]\n]*\]|\((?:Ref|ref|REF)[^)\n]*\)|https?://\S+|www\.\S+|\S+@\S+|\S*\d\S*")
+#: What has no language - quotations, references, addresses, numbers - and a piece of text that every one of them holds.
+_MARKS = [
+    ("«", re.compile(r"«[^»\n]*»")), ("“", re.compile(r"“[^”\n]*”")), ("[", re.compile(r"\[[^\]\n]*\]")), ("(ref", re.compile(r"\(ref[^)\n]*\)")),
+    ("://", re.compile(r"https?://\S+")), ("www.", re.compile(r"www\.\S+")), ("@", re.compile(r"[^\s@]++@\S+")),
+]
+_NUMBER = re.compile(r"[^\s\d]*+\d\S*")
+_DIGIT = re.compile(r"\d")
+
+
+class _Folded(dict):
+    """Per letter the Latin letters it stands for, without accents; filled as letters are met."""
+
+    def __missing__(self, point: int) -> str:
+        t = unicodedata.normalize("NFKD", LATIN.get(chr(point), chr(point)))
+        self[point] = t = "".join(c for c in t if not unicodedata.combining(c))
+        return t
+
+
+_FOLDED = _Folded()
 _CODE = np.zeros(0x3000, dtype=np.int64)
 for _k, _c in enumerate(ALPHABET):
     _CODE[ord(_c)] = _k
-
-
-def fold(text: str, ignore: re.Pattern | None = None) -> str:
+#: Stands between the texts of a batch.
+_BETWEEN = "\x02"
+_CODE[ord(_BETWEEN)] = -1
+
+
+class Names:
+    """Whole words and phrases to leave out, found together in one scan."""
+
+    def __init__(self, names: list[str]):
+        self.scan = ahocorasick.Automaton()
+        for n in {x.casefold() for x in names if x and x.strip()}:
+            self.scan.add_word(n, len(n))
+        self.any = len(self.scan) > 0
+        if self.any:
+            self.scan.make_automaton()
+
+    def blank(self, t: str) -> str:
+        """The text with a blank for every name; the longest of those that begin at a place counts."""
+        if not self.any:
+            return t
+        spans: dict[int, int] = {}
+        for last, n in self.scan.iter(t):
+            a, b = last + 1 - n, last + 1
+            if (a == 0 or not _word(t[a - 1])) and (b == len(t) or not _word(t[b])):
+                spans[a] = max(spans.get(a, 0), b)
+        if not spans:
+            return t
+        out, at = [], 0
+        for a, b in sorted(spans.items()):
+            if a >= at:
+                out += [t[at:a], " "]
+                at = b
+        return "".join([*out, t[at:]])
+
+
+def _word(c: str) -> bool:
+    return c.isalnum() or c == "_"
+
+
+def fold(text: str, ignore: Names | None = None) -> str:
     """Unescaped, lower case, in Latin letters without accents, references and numbers: what a language is read from."""
-    t = html.unescape(text).casefold()
-    t = _MARKS.sub(" ", _SCANNED.sub(lambda m: "l" if m[0] == "1" else "o", t))
+    t = (html.unescape(text) if "&" in text else text).casefold()
+    digits = _DIGIT.search(t) is not None
+    if digits and ("1" in t or "0" in t):
+        t = _SCANNED.sub(lambda m: "l" if m[0] == "1" else "o", t)
+    for sign, pattern in _MARKS:
+        if sign in t:
+            t = pattern.sub(" ", t)
+    if digits:
+        t = _NUMBER.sub(" ", t)
     if ignore:
-        t = ignore.sub(" ", t)
-    t = "".join(LATIN.get(c, c) for c in t)
-    return "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+        t = ignore.blank(t)
+    return t if t.isascii() else t.translate(_FOLDED)
+
 
+def ngram_counts(texts: list[str], n: int = NGRAM, ignore: Names | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, code, count) of the letter n-grams inside and across words, in order of text and code.
 
-def ngram_codes(text: str, n: int = NGRAM, ignore: re.Pattern | None = None) -> np.ndarray:
-    """Codes of the letter n-grams inside and across words; none for a text without letters."""
-    points = np.frombuffer(fold(text, ignore).encode("utf-32-le"), dtype=np.uint32)
+    A text without letters has none.  ``text`` is the place in the list.
+    """
+    joined = " " + f" {_BETWEEN} ".join(fold(t, ignore).replace(_BETWEEN, " ") for t in texts) + " "
+    points = np.frombuffer(joined.encode("utf-32-le", "replace"), dtype=np.uint32)
     codes = _CODE[np.where(points < len(_CODE), points, 32)]
-    if not codes.any():
-        return np.zeros(0, dtype=np.int64)
-    codes = np.concatenate([[0], codes, [0]])
     codes = codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])]  # single blanks
-    size = len(ALPHABET)
-    out = np.zeros(max(0, len(codes) - n + 1), dtype=np.int64)
+    size, length = len(ALPHABET), max(0, len(codes) - n + 1)
+    text = np.cumsum(codes == -1)[:length]
+    out, inside = np.zeros(length, dtype=np.int64), np.ones(length, dtype=bool)
     for k in range(n):
-        out = out * size + codes[k : len(codes) - n + 1 + k]
-    return out
+        part = codes[k : length + k]
+        inside &= part >= 0
+        out = out * size + part
+    key, count = np.unique(text[inside] * size**n + out[inside], return_counts=True)
+    return key // size**n, key % size**n, count
 
 
 class Space:
@@ -109,14 +181,17 @@ class Profiles:
             part = np.arange(a, min(a + 2048, bundled.shape[1]))
             self.product[part] = self.weight[part, None] * (space.vectors(part) @ protos.T)
 
-    def cosines(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Cosine of every text (an array of n-gram codes) with every prototype."""
-        out = np.zeros((len(texts), len(self.langs)), dtype=np.float32)
-        for k, codes in enumerate(texts):
-            if len(codes):
-                seen, n = np.unique(codes, return_counts=True)
-                length = np.sqrt(self.dimensions * ((n * self.weight[seen]) ** 2).sum())
-                out[k] = (n[:, None] * self.product[seen]).sum(axis=0) / max(length, 1e-6)
+    def cosines(self, n_texts: int, text: np.ndarray, code: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Cosine of every text, given by its n-gram counts in order of text, with every prototype; 0 for a text without any.
+
+        The order of the prototypes, and with it every decision and confidence, does not depend on the length.
+        """
+        out = np.zeros((n_texts, len(self.langs)), dtype=np.float32)
+        if len(text):
+            there, start = np.unique(text, return_index=True)
+            length = np.sqrt(self.dimensions * np.add.reduceat((count * self.weight[code]) ** 2, start))
+            dot = np.add.reduceat(count[:, None].astype(np.float32) * self.product[code], start, axis=0)
+            out[there] = dot / np.maximum(length, 1e-6)[:, None]
         return out
 
 
@@ -125,9 +200,8 @@ def label_language(label: Column, langs: list[tuple[str, str, str]]) -> Column:
     plain = F.lower(F.trim(label))
     plain = F.regexp_replace(plain, r"[-_](xx|latn|cyrl|[a-z]{2})$", "")
     out = F.lit(None).cast("string")
-    english = {"en": "english", "fr": "french", "es": "spanish", "pt": "portuguese", "it": "italian", "de": "german", "id": "indonesian", "ru": "russian"}
     for lang, iso3, name in langs:
-        names = sorted({lang.lower(), (iso3 or lang).lower(), (name or lang).lower(), english.get(lang, lang)})
+        names = sorted({lang.lower(), (iso3 or lang).lower(), (name or lang).lower(), ENGLISH.get(lang, lang)})
         out = F.when(plain.isin(names), F.lit(lang)).otherwise(out)
     return out
 
@@ -149,30 +223,37 @@ def train(labelled: DataFrame, text: str, lang: str, key: str) -> Profiles | Non
     chosen = F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(1_000_000)) < share * 1_000_000
     sample = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & chosen).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     langs, width = sorted(counts), len(ALPHABET) ** NGRAM
+    place = {c: k for k, c in enumerate(langs)}
 
     def partial(first: Profiles | None):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            sums = {c: np.zeros((2, width)) for c in langs}
-            texts = dict.fromkeys(langs, 0)
-            for b in batches:
-                codes = [ngram_codes(t) for t in b["text"]]
-                guess = first.cosines(codes).argmax(axis=1) if first else None
-                for k, (c, code) in enumerate(zip(b["lang"], codes, strict=True)):
-                    if len(code) and (guess is None or first.langs[guess[k]] == c):
-                        seen, n = np.unique(code, return_counts=True)
-                        sums[c][0][seen] += n / np.linalg.norm(n)
-                        sums[c][1][seen] += 1
-                        texts[c] += 1
-            for c in langs:
-                used = np.flatnonzero(sums[c][1])
-                yield pd.DataFrame({"lang": c, "code": np.append(used, -1), "bundled": np.append(sums[c][0][used], 0.0), "present": np.append(sums[c][1][used], texts[c])})
+            sums, texts = np.zeros((2, len(langs) * width)), np.zeros(len(langs))
+            for whole in batches:
+                for a in range(0, len(whole), TOGETHER):
+                    b = whole.iloc[a : a + TOGETHER]
+                    own = np.array([place[c] for c in b["lang"]])
+                    text, code, count = ngram_counts(b["text"].tolist())
+                    keep = np.bincount(text, minlength=len(b)) > 0
+                    if first:
+                        keep &= np.array([place[c] for c in first.langs])[first.cosines(len(b), text, code, count).argmax(axis=1)] == own
+                    norm = np.sqrt(np.bincount(text, weights=count.astype(float) ** 2, minlength=len(b)))
+                    used = keep[text]
+                    at = own[text[used]] * width + code[used]
+                    sums[0] += np.bincount(at, weights=count[used] / norm[text[used]], minlength=sums.shape[1])
+                    sums[1] += np.bincount(at, minlength=sums.shape[1])
+                    texts += np.bincount(own[keep], minlength=len(langs))
+            for k, c in enumerate(langs):
+                mine = sums[:, k * width : (k + 1) * width]
+                used = np.flatnonzero(mine[1])
+                yield pd.DataFrame({"lang": c, "code": np.append(used, -1), "bundled": np.append(mine[0][used], 0.0), "present": np.append(mine[1][used], texts[k])})
 
         return run
 
     profiles = None
     for _ in range(2):
         rows = sample.mapInPandas(partial(profiles), "lang string, code long, bundled double, present double")
-        got = rows.groupBy("lang", "code").agg(F.sum("bundled").alias("bundled"), F.sum("present").alias("present")).toPandas()
+        summed = rows.groupBy("lang", "code").agg(F.sum("bundled").alias("bundled"), F.sum("present").alias("present"))
+        got = pd.DataFrame(bounded_collect(summed, len(langs) * (width + 1), "n-grams of languages"), columns=summed.columns)
         bundled, present = np.zeros((len(langs), width)), np.zeros((len(langs), width))
         for k, c in enumerate(langs):
             own = got[(got["lang"] == c) & (got["code"] >= 0)]
@@ -193,40 +274,36 @@ def segments(documents: DataFrame, profiles: Profiles | None, *, key: str = "doc
     ``names`` (a bounded list) are left out of the texts: names of countries have no language.  Whole texts
     are read, in place, without a shuffle.
     """
-    ignore = re.compile(r"\b(?:" + "|".join(re.escape(x.casefold()) for x in sorted(names, key=len, reverse=True)) + r")\b") if names else None
-    names = profiles.langs if profiles else []
+    listed = list(names or [])
+    langs = profiles.langs if profiles else []
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            pieces, sizes = [], []
-            for t in b["text"]:
-                paras = [p for p in re.split(r"[\r\n]+", t) if p.strip()] if t else []
-                sizes.append(len(paras))
-                pieces += paras
-            codes = [ngram_codes(p, ignore=ignore) for p in pieces]
-            cos = profiles.cosines(codes) if profiles else np.zeros((len(codes), 0))
-            out, at = [], 0
-            for key_value, n in zip(b["key"], sizes, strict=True):
-                if not n:
-                    continue
-                best: list[tuple[str | None, float]] = []
-                chars: dict[str, int] = {}
-                for k in range(at, at + n):
-                    if len(codes[k]) < 3 or not names:
-                        best.append((None, 0.0))
+        ignore = Names(listed)
+        for whole in batches:
+            for a in range(0, len(whole), TOGETHER):
+                b = whole.iloc[a : a + TOGETHER]
+                held = [[p.strip() for p in re.split(r"[\r\n]+", t) if p.strip()] if t else [] for t in b["text"]]
+                pieces = [p for paras in held for p in paras]
+                text, code, count = ngram_counts(pieces, ignore=ignore)
+                enough = np.bincount(text, weights=count, minlength=len(pieces)) >= 3
+                cos = profiles.cosines(len(pieces), text, code, count) if profiles else np.zeros((len(pieces), 0))
+                top = cos.argmax(axis=1).tolist() if langs else [0] * len(pieces)
+                high = np.sort(cos, axis=1)[:, ::-1]
+                second = np.clip(high[:, 1], 0, None) if len(langs) > 1 else 0.0
+                sure = np.clip((high[:, 0] - second) / np.maximum(high[:, 0], 1e-6), 0, 1).round(4).tolist() if langs else [0.0] * len(pieces)
+                told, at, out = (enough & bool(langs)).tolist(), 0, []
+                for doc, paras in zip(b["key"].tolist(), held, strict=True):
+                    if not paras:
                         continue
-                    order = np.argsort(-cos[k], kind="stable")
-                    top, second = cos[k][order[0]], cos[k][order[1]] if len(order) > 1 else 0.0
-                    best.append((names[order[0]], float(np.clip((top - max(second, 0.0)) / max(top, 1e-6), 0, 1))))
-                    chars[names[order[0]]] = chars.get(names[order[0]], 0) + len(pieces[k].strip())
-                whole = max(sorted(chars), key=lambda c: chars[c]) if chars else None
-                total = sum(chars.values())
-                out.append((key_value, 0, sum(len(p.strip()) for p in pieces[at : at + n]), whole, round(chars[whole] / total, 4) if whole else 0.0))
-                for k in range(n):
-                    lang, conf = best[k]
-                    out.append((key_value, k + 1, len(pieces[at + k].strip()), lang or whole, round(conf, 4)))
-                at += n
-            yield pd.DataFrame(out, columns=["key", "para_no", "n_chars", "lang", "confidence"])
+                    chars: dict[str, int] = {}
+                    for k, p in enumerate(paras, at):
+                        if told[k]:
+                            chars[langs[top[k]]] = chars.get(langs[top[k]], 0) + len(p)
+                    most = max(sorted(chars), key=lambda c: chars[c]) if chars else None
+                    out.append((doc, 0, sum(map(len, paras)), most, round(chars[most] / sum(chars.values()), 4) if most else 0.0))
+                    out += [(doc, k - at + 1, len(p), langs[top[k]] if told[k] else most, sure[k] if told[k] else 0.0) for k, p in enumerate(paras, at)]
+                    at += len(paras)
+                yield pd.DataFrame(out, columns=["key", "para_no", "n_chars", "lang", "confidence"])
 
     return (
         documents.select(F.col(key).alias("key"), F.col(text).alias("text"))

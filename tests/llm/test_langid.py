@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from fundlens.llm import langid
@@ -51,3 +52,40 @@ def test_untrained(spark):
 
 def test_scripts_and_scans():
     assert langid.fold("План ЗАКУПОК").strip() == "plan zakupok" and langid.fold("cance1ó 1ot").strip() == "cancelo lot"
+
+
+def test_table_of_products_is_the_bundle():
+    """The looked-up cosine against texts that are bundled vector by vector: same order, little apart."""
+    rng = random.Random(4)
+    space = langid.Space()
+    width = len(langid.ALPHABET) ** langid.NGRAM
+    bundled = np.zeros((len(TEXT), width))
+    for k, lang in enumerate(TEXT):
+        _, code, count = langid.ngram_counts([_text(rng, lang, 400)])
+        bundled[k, code] = count
+    profiles = langid.Profiles(list(TEXT), bundled, (bundled > 0) * 1.0, space)
+    protos = np.stack([sum(bundled[k, c] * profiles.weight[c] * space.vectors(np.array([c]))[0] for c in np.flatnonzero(bundled[k])) for k in range(len(TEXT))])
+    protos /= np.linalg.norm(protos, axis=1, keepdims=True)
+    texts = [_text(rng, rng.choice(list(TEXT)), rng.choice([3, 8, 30])) for _ in range(60)]
+    text, code, count = langid.ngram_counts(texts)
+    got = profiles.cosines(len(texts), text, code, count)
+    for k in range(len(texts)):
+        mine = text == k
+        vector = (space.vectors(code[mine]) * (count[mine] * profiles.weight[code[mine]])[:, None]).sum(axis=0)
+        want = protos @ vector / np.linalg.norm(vector)
+        assert np.abs(got[k] - want).max() < 0.06 and got[k].argmax() == want.argmax()
+
+
+def test_counts_of_a_batch():
+    text, code, count = langid.ngram_counts(["abab", "", "12 / 3", " \x02 ", "a  b", "é"])
+    got = {}
+    for t, c, n in zip(text.tolist(), code.tolist(), count.tolist()):
+        letters = "".join(langid.ALPHABET[c // len(langid.ALPHABET) ** k % len(langid.ALPHABET)] for k in (2, 1, 0))
+        got.setdefault(t, {})[letters] = n
+    assert got == {0: {" ab": 1, "aba": 1, "bab": 1, "ab ": 1}, 4: {" a ": 1, "a b": 1, " b ": 1}, 5: {" e ": 1}}
+    assert all(len(x) == 0 for x in langid.ngram_counts([]))
+
+
+def test_names_are_left_out():
+    names = langid.Names(["Torvia", "North Torvia", "", None])
+    assert names.blank("in north torvia, torvian torvia") == "in  , torvian  " and langid.Names([]).blank("x") == "x"
