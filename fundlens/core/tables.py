@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,11 +16,30 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only where none is named (tests) set a local one."""
-    if spark.sparkContext.getCheckpointDir() is not None:
+    """Use the cluster's shared ``spark.checkpoint.dir``; only a session on one machine (tests) gets a local one.
+
+    A cluster without a shared folder is an error: a folder of one machine would lose what others wrote.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is not None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "fundlens-checkpoints"))
+    if not named and not re.match(r"local(\[|$)", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "fundlens-checkpoints"))
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path for a written table in the shared folder of checkpoints."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark reads, in order; none if there is no folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(where)) if fs.exists(where) else []
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -7,10 +7,14 @@ exact median, pattern violations, entropy - is derived from the counts, never fr
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fundlens.core.tables import listed
+
 #: Names of places hold letters, space, point, apostrophe and hyphen, and at least one letter.
 PLACE_PATTERN = r"^(?=.*\p{L})[\p{L} .'\-]*$"
 #: Buckets of an amount by its logarithm: the median is located by bucket and then ranked inside one bucket.
@@ -33,28 +37,55 @@ def value_counts(rows: DataFrame, load: str, columns: dict[str, str], sign: int
 
 
 class ValueCountStore:
-    """The persistent value-count tables: a folder of signed deltas, compacted on demand."""
+    """The persistent value-count tables: a folder of numbered deltas and states, partitioned by column.
+
+    A delta has a row per load, column and value, as :func:`value_counts` gives; deltas of loads that arrive
+    together may be one.  A delta is written whole under its number before it counts, and again over itself if
+    the same number is applied twice, so a lost executor or a repeated job leaves the same table.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, load: str = "load_no"):
+    def __init__(self, spark: SparkSession, path: str, load: str = "load_no", load_type: str = "int"):
         self.spark, self.path, self.load = spark, path, load
+        self.schema = f"`{load}` {load_type}, kind string, value string, n long, column_name string"
+
+    def _parts(self) -> list[str]:
+        return [n for n in listed(self.spark, self.path) if n.endswith(("-delta", "-state")) and "_SUCCESS" in listed(self.spark, f"{self.path}/{n}")]
+
+    def _write(self, counts: DataFrame, kind: str, number: int | None) -> None:
+        parts = self._parts()
+        number = int(parts[-1].split("-")[0]) + 1 if number is None and parts else number or 0
+        counts.select(self.load, "kind", "value", F.col("n").cast("long").alias("n"), "column_name").write.mode("overwrite").partitionBy("column_name").parquet(f"{self.path}/{number:09d}-{kind}")
 
-    def apply(self, delta: DataFrame) -> None:
-        """Append a delta; a withdrawn load is the same delta with ``sign=-1``."""
-        delta.write.mode("append").partitionBy("column_name").parquet(self.path)
+    def apply(self, delta: DataFrame, number: int | None = None) -> None:
+        """Keep a delta; a withdrawn load is the same delta with ``sign=-1``. ``number``: its place, the next if left out."""
+        self._write(delta, "delta", number)
 
     def state(self) -> DataFrame:
-        """Counts per load, column and value after all deltas; values that cancelled out are gone."""
-        return (
-            self.spark.read.parquet(self.path)
-            .groupBy(self.load, "column_name", "kind", "value")
-            .agg(F.sum("n").alias("n"))
-            .where("n > 0")
-        )
+        """Counts per load, column and value after all deltas; values that cancelled out are gone.
+
+        What came before the last kept state isn't read; a single part needs no aggregation.
+        """
+        parts = self._parts()
+        since = max([k for k, n in enumerate(parts) if n.endswith("-state")], default=0)
+        frames = [self.spark.read.schema(self.schema).parquet(f"{self.path}/{n}") for n in parts[since:]]
+        if not frames:
+            return self.spark.createDataFrame([], self.schema)
+        counts = reduce(DataFrame.unionByName, frames)
+        if len(frames) > 1:
+            counts = counts.groupBy(self.load, "column_name", "kind", "value").agg(F.sum("n").alias("n"))
+        return counts.where("n > 0").select(self.load, "column_name", "kind", "value", "n")
+
+    def fold(self) -> "ValueCountStore":
+        """Keep the state of now, so that later readers start from it."""
+        self._write(self.state(), "state", None)
+        return self
 
     def compact(self, path: str) -> "ValueCountStore":
-        """The state written to another folder as one delta per value."""
-        self.state().write.mode("overwrite").partitionBy("column_name").parquet(path)
-        return ValueCountStore(self.spark, path, self.load)
+        """The state as the first state of a store in another folder."""
+        other = ValueCountStore(self.spark, path, self.load)
+        other.schema = self.schema
+        other._write(self.state(), "state", 0)
+        return other
 
 
 def _median(counts: DataFrame, key: list[str]) -> DataFrame:

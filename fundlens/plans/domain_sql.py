@@ -305,3 +305,20 @@ UNION ALL SELECT load_no, column_name, 'range' FROM b WHERE column_name <> 'prov
 UNION ALL SELECT load_no, column_name, 'pattern' FROM b WHERE column_name = 'province' AND bad > 0.02
 """
 ORACLE_SQL["p4_found"] = _P4
+
+_P4_PROFILE = """
+WITH r AS (SELECT * FROM project_records {rows}), v AS (
+  SELECT load_no, 'loan_amount' AS column_name, 'amount' AS kind, CAST(loan_amount AS DECIMAL(32,4)) AS x, NULL AS t FROM r
+  UNION ALL SELECT load_no, 'total_disbursement', 'amount', CAST(total_disbursement AS DECIMAL(32,4)), NULL FROM r
+  UNION ALL SELECT load_no, 'province', 'text', NULL, CASE WHEN trim(regexp_replace(province, '\\s+', ' ', 'g')) <> '' THEN province END FROM r),
+w AS (SELECT *, coalesce(t, CAST(x AS VARCHAR)) AS value FROM v),
+c AS (SELECT load_no, column_name, value, CAST(count(*) AS DOUBLE) AS n FROM w WHERE value IS NOT NULL GROUP BY ALL),
+e AS (SELECT load_no, column_name, greatest(0.0, log2(sum(n)) - sum(n * log2(n)) / sum(n)) AS bits FROM c GROUP BY ALL),
+m AS (SELECT load_no, column_name, any_value(kind) AS kind, count(*) AS n_rows, count(value) AS n_filled, count(DISTINCT value) AS n_distinct, min(x) AS min_value, max(x) AS max_value,
+  count(*) FILTER (WHERE t IS NOT NULL AND (NOT regexp_full_match(t, '[\\p{L} .''\\-]*') OR NOT regexp_matches(t, '\\p{L}'))) AS n_pattern, median(CAST(x AS DOUBLE)) FILTER (WHERE x > 0) AS median_positive
+  FROM w GROUP BY load_no, column_name)
+SELECT m.*, 1 - n_filled / n_rows AS null_share, n_distinct / n_rows AS distinct_per_row, n_pattern / nullif(n_filled, 0) AS pattern_share, round(coalesce(bits, 0), 6) AS entropy_bits
+FROM m LEFT JOIN e ON e.load_no = m.load_no AND e.column_name = m.column_name
+"""
+ORACLE_SQL["p4_profile"] = _P4_PROFILE.replace("{rows}", "")
+ORACLE_SQL["p4_withdrawn"] = _P4_PROFILE.replace("{rows}", "WHERE load_no < (SELECT max(load_no) FROM project_records)")

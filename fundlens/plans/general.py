@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.core.tables import load
+from fundlens.core.tables import load, shared_path
 from fundlens.operators import drift, packed, quality, units
 
 
@@ -44,10 +44,26 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 _P4_COLUMNS = {"loan_amount": "amount", "province": "text", "total_disbursement": "amount"}
 
 
+def _p4_store(spark: SparkSession, sf_dir: str) -> quality.ValueCountStore:
+    """Value-count tables in the shared folder, with the delta of every load applied."""
+    rows = load(spark, sf_dir, "project_records").select("load_no", *_P4_COLUMNS)
+    store = quality.ValueCountStore(spark, shared_path(spark, "value-counts"), "load_no")
+    store.apply(quality.value_counts(rows, "load_no", _P4_COLUMNS))
+    return store
+
+
 def p4_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact metrics and entropy of every load and column."""
+    """Exact metrics and entropy of every load and column, from the kept counts."""
+    return quality.profile(_p4_store(spark, sf_dir).state(), "load_no")
+
+
+def p4_withdrawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile after the newest load was taken back by a delta of the other sign."""
+    store = _p4_store(spark, sf_dir)
     rows = load(spark, sf_dir, "project_records").select("load_no", *_P4_COLUMNS)
-    return quality.profile(quality.value_counts(rows, "load_no", _P4_COLUMNS), "load_no")
+    newest = rows.agg(F.max("load_no").alias("load_no"))
+    store.apply(quality.value_counts(rows.join(newest, "load_no", "left_semi"), "load_no", _P4_COLUMNS, sign=-1))
+    return quality.profile(store.fold().state(), "load_no")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +85,7 @@ QUERIES = {
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_profile": p4_profile,
+    "p4_withdrawn": p4_withdrawn,
     "p5_found": p5_found,
     "p5_table": p5_table,
 }

@@ -3,6 +3,9 @@ import random
 from collections import Counter
 from statistics import median
 
+import pytest
+
+from fundlens.core import tables
 from fundlens.operators import quality
 
 COLS = {"a": "amount", "p": "text"}
@@ -39,6 +42,34 @@ def test_store_and_signed_deltas(spark, tmp_path):
     assert {r["load_no"] for r in state.collect()} == {1} and state.agg({"n": "sum"}).first()[0] == 4
 
 
+def test_store_starts_from_its_last_state(spark, tmp_path):
+    one, two = _rows(spark, [(1, 5.0, "A", None), (1, 5.0, "A", None)]), _rows(spark, [(2, 7.0, None, None)])
+    store = quality.ValueCountStore(spark, str(tmp_path / "s"))
+    assert store.state().count() == 0
+    store.apply(quality.value_counts(_rows(spark, []), "load_no", COLS))
+    assert store.state().count() == 0
+    for _ in range(2):  # a repeated job counts once
+        store.apply(quality.value_counts(one, "load_no", COLS), number=7)
+    store.fold().apply(quality.value_counts(one.limit(1), "load_no", COLS, sign=-1))
+    store.apply(quality.value_counts(two, "load_no", COLS))
+    again = quality.ValueCountStore(spark, str(tmp_path / "s"))  # another process
+    assert sorted((r["load_no"], r["column_name"], r["value"], r["n"]) for r in again.state().collect() if r["value"]) == [(1, "a", "5.0000", 1), (1, "p", "A", 1), (2, "a", "7.0000", 1)]
+    assert [p.split("-")[1] for p in again._parts()] == ["delta", "delta", "state", "delta", "delta"]
+
+
+def test_shared_folder_is_required_on_clusters(spark, monkeypatch):
+    class Context:
+        master = "spark://one:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+        conf = {"spark.checkpoint.dir": None}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.ensure_checkpoint_dir(Session)
+
+
 def test_findings_and_empty(spark):
     rows = [(1, 10.0, "A", None)] * 4 + [(2, 40.0, "A1", None)] * 3 + [(2, None, None, None)] + [(5, 9.5e13, "B", None)] + [(6, None, None, None)] * 2
     m = quality.profile(quality.value_counts(_rows(spark, rows), "load_no", COLS), "load_no")
