@@ -24,7 +24,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if context.getCheckpointDir() is not None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and not re.match(r"local(\[|$)", context.master):
+    if not named and not re.match(r"local(-cluster)?(\[|$)", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "fundlens-checkpoints"))
 

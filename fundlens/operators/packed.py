@@ -16,26 +16,28 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundlens.core.tables import bounded_collect, materialize
+
 #: Separators that cut wherever they stand outside quotes and known values; so does a slash between spaces.
 STRONG = ";|\n\r\t；"
 #: Separators of more than one kind of sign: a comma cuts only if the cell separates values by nothing else.
 COMMA_OR_SLASH = re.compile(r",| / ")
 #: A name needs this many cells or quotations to enter the dictionary: one misread cell must not make a name.
 MIN_SUPPORT = 2
-#: Bound of the dictionary that is sent to every task (names; some 20 MB). A larger one is cut down to the
-#: names that hold a separator - the only ones that the cover needs to protect.
+#: Names with separators up to which the dictionary is sent to every task (some 20 MB); beyond, stretches of
+#: the cells are joined to it.
 MAX_DICTIONARY = 200_000
 
 
-def learn_dictionary(cells: DataFrame, column: str) -> list[str]:
-    """The names known as whole values in all cells. One pass with map-side aggregation."""
+def known_names(cells: DataFrame, column: str) -> DataFrame:
+    """(item): the names known as whole values in all cells. One pass with map-side aggregation."""
     cell = F.col(column)
     quoted = F.transform(F.regexp_extract_all(cell, F.lit(r'(?s)"((?:[^"]|"")*)"'), F.lit(1)), lambda x: F.replace(x, F.lit('""'), F.lit('"')))
     bare = F.regexp_replace(cell, r'(?s)"(?:[^"]|"")*"', "")
     pieces = F.split(bare, f"[{STRONG}]")
     strong = F.size(pieces) > 1
     whole = F.when(strong, pieces).when(~F.contains(bare, F.lit(",")) & ~F.contains(bare, F.lit("/")) & ~F.contains(cell, F.lit('"')), pieces)
-    names = (
+    return (
         cells.where(cell.isNotNull())
         .select(F.explode(F.array_distinct(F.concat(quoted, F.coalesce(whole, F.array().cast("array<string>"))))).alias("item"))
         .select(F.trim(F.regexp_replace("item", r"(?U)^[\s\h]+|[\s\h]+$", "")).alias("item"))
@@ -45,13 +47,24 @@ def learn_dictionary(cells: DataFrame, column: str) -> list[str]:
         .where(F.col("count") >= MIN_SUPPORT)
         .select("item")
     )
-    known = [r[0] for r in names.limit(MAX_DICTIONARY + 1).collect()]
-    if len(known) > MAX_DICTIONARY:
-        holding = names.where(F.col("item").rlike(f"[,/{STRONG}]"))
-        known = [r[0] for r in holding.limit(MAX_DICTIONARY + 1).collect()]
-        if len(known) > MAX_DICTIONARY:
-            raise ValueError("more names with separators than a task can hold")
-    return sorted(known)
+
+
+def learn_dictionary(cells: DataFrame, column: str, most: int = MAX_DICTIONARY) -> list[str]:
+    """:func:`known_names` as a list, for one's own :class:`Segmenter`; more than ``most`` are an error."""
+    return sorted(r[0] for r in bounded_collect(known_names(cells, column), most, "known names"))
+
+
+def _protected(names: DataFrame) -> DataFrame:
+    """The names that hold a separator: the only ones a cover needs, as the others have no place to be cut at."""
+    return names.where(F.col("item").rlike(f"[,/{STRONG}]"))
+
+
+def stretches(cell: str, most: int) -> list[str]:
+    """The stretches of a cell that may be a known value: from a separator to one of the next ``most`` after it."""
+    cuts, _ = Segmenter._cuts(cell)
+    edges = [(0, 0), *[(a, b) for a, b, _ in cuts], (len(cell), len(cell))]
+    out = {cell[edges[i][1] : edges[j][0]].strip(" \xa0") for i in range(len(edges)) for j in range(i + 2, min(i + most + 2, len(edges)))}
+    return sorted(out - {""})
 
 
 class Segmenter:
@@ -159,24 +172,29 @@ class Segmenter:
         return out
 
 
-def _exploded(cells: DataFrame, key: str, column: str, splitter) -> DataFrame:
-    """(row_key, pos, n_items, item); the cells are split in place, without a shuffle."""
-    split = F.pandas_udf(splitter, "array<string>")
-    return (
-        cells.where(F.col(column).isNotNull())
-        .select(F.col(key).alias("row_key"), split(F.col(column)).alias("__items"))
-        .select("row_key", F.size("__items").alias("n_items"), F.posexplode("__items").alias("__p", "item"))
-        .select("row_key", (F.col("__p") + 1).alias("pos"), "n_items", "item")
+def _pieces(split: DataFrame) -> DataFrame:
+    """(row_key, pos, n_items, item) of (row_key, __items)."""
+    return split.select("row_key", F.size("__items").alias("n_items"), F.posexplode("__items").alias("__p", "item")).select(
+        "row_key", (F.col("__p") + 1).alias("pos"), "n_items", "item"
     )
 
 
-def split_cells(cells: DataFrame, key: str, column: str, names: list[str] | None = None) -> DataFrame:
+def split_cells(cells: DataFrame, key: str, column: str, names: list[str] | None = None, most: int = MAX_DICTIONARY) -> DataFrame:
     """One row per value of ``column`` with its place in the cell: (row_key, pos, n_items, item).
 
     Null and blank cells give no row; a cell with one value gives one; a value repeated in a cell is kept
-    each time.  ``names`` is a known list of whole values; left out, it is learnt from all cells.
+    each time.  ``names`` is a known list of whole values; left out, it is learnt from all cells.  Up to
+    ``most`` learnt names with separators go to every task and the cells are split in place; beyond, the
+    distinct cells' stretches are joined to the names, and each cell is split by the names it holds - with
+    the same result.
     """
-    names = learn_dictionary(cells, column) if names is None else names
+    df = cells.where(F.col(column).isNotNull()).select(F.col(key).alias("row_key"), F.col(column).alias("__cell"))
+    if names is None:
+        learnt = _protected(known_names(cells, column))
+        got = [r[0] for r in learnt.limit(most + 1).collect()]
+        if len(got) > most:
+            return _split_by_join(df, materialize(learnt))
+        names = sorted(got)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         seg = Segmenter(names)
@@ -184,51 +202,82 @@ def split_cells(cells: DataFrame, key: str, column: str, names: list[str] | None
             yield b.map(seg.split)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return _exploded(cells, key, column, run)
+    return _pieces(df.select("row_key", F.pandas_udf(run, "array<string>")("__cell").alias("__items")))
+
+
+def _split_by_join(df: DataFrame, names: DataFrame) -> DataFrame:
+    """The cells of (row_key, __cell) split by the names that an equi-join finds among their stretches."""
+    longest = names.agg(F.max(F.regexp_count("item", F.lit(f"[,/{STRONG}]")))).first()[0] or 0  # separators in a name
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame([(c, s) for c in b["__cell"] for s in stretches(c, longest)], columns=["__cell", "item"])
+
+    held = df.select("__cell").distinct().mapInPandas(cut, "__cell string, item string").join(names, "item").groupBy("__cell").agg(F.collect_set("item").alias("__names"))
+
+    @F.pandas_udf("array<string>")
+    def split(cell: pd.Series, known: pd.Series) -> pd.Series:
+        return pd.Series([Segmenter([] if k is None else sorted(k)).split(c) for c, k in zip(cell, known, strict=True)])
+
+    return _pieces(df.join(held, "__cell", "left").select("row_key", split("__cell", "__names").alias("__items")))
+
+
+class CodeCover:
+    """Cuts runs of letters and digits into known codes, by the cover with the fewest codes; of equal ones that with the shorter code last."""
+
+    def __init__(self, codes: list[str]):
+        self.automaton = ahocorasick.Automaton()
+        for c in codes:
+            self.automaton.add_word(c, len(c))
+        self.any = len(self.automaton) > 0
+        if self.any:
+            self.automaton.make_automaton()
+
+    def cut(self, run: str) -> list[str]:
+        """The codes that make up the run; the run itself where no sequence of known codes does."""
+        ends: dict[int, list[int]] = {}
+        if self.any:
+            for last, n in self.automaton.iter(run):
+                ends.setdefault(last + 1, []).append(n)
+        best: list[tuple[int, int] | None] = [(0, 0), *[None] * len(run)]
+        for at in range(1, len(run) + 1):
+            options = [(best[at - n][0] + 1, n) for n in ends.get(at, ()) if best[at - n] is not None]
+            best[at] = min(options, default=None)
+        if best[-1] is None:
+            return [run]
+        out, at = [], len(run)
+        while at:
+            out.append(run[at - best[at][1] : at])
+            at -= best[at][1]
+        return out[::-1]
 
 
 def split_codes(cells: DataFrame, key: str, column: str, codes: DataFrame, null_word: str = "None") -> DataFrame:
-    """As :func:`split_cells`, for cells of short codes in upper case, packed with any separator.
+    """As :func:`split_cells`, for cells of short codes in upper case, packed with any separator or none.
 
-    The dictionary is the reference list of codes; what stands between known codes is a separator, except
-    that an unknown run of letters or digits is a value of its own (group codes are lawful). ``null_word``
-    means null.
+    The dictionary is the reference list and, as group codes are lawful, what stands alone between separators
+    in at least ``MIN_SUPPORT`` cells and is as long as a listed code.  A run of letters and digits is cut by
+    the cover of fewest known codes; a run that no codes make up is a value of its own.  ``null_word`` means
+    null, in a cell or between separators.
     """
-    known = sorted({r[0].upper() for r in codes.where(codes[0].isNotNull()).limit(MAX_DICTIONARY).collect()})
+    listed = sorted({r[0].upper() for r in bounded_collect(codes.where(codes[0].isNotNull()).distinct(), MAX_DICTIONARY, "codes") if r[0].strip()})
+    lengths = sorted({len(c) for c in listed})
+    cell = F.col(column)
+    alone = F.explode(F.array_distinct(F.split(F.upper(cell), r"[^\p{L}\p{N}]+"))).alias("item")
+    seen = cells.where(cell.isNotNull()).select(alone).where(F.length("item").isin(lengths) & (F.col("item") != null_word.upper())).groupBy("item").count().where(F.col("count") >= MIN_SUPPORT)
+    # as many as there are codes of these lengths, whatever the number of cells
+    known = sorted({*listed, *(r[0] for r in bounded_collect(seen.select("item"), MAX_DICTIONARY, "codes in use"))}) if listed else []
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        auto = ahocorasick.Automaton()
-        for c in known:
-            auto.add_word(c, c)
-        if known:
-            auto.make_automaton()
-
-        def split(cell: str | None) -> list[str]:
-            if cell is None or cell.strip().casefold() == null_word.casefold():
-                return []
-            text = cell.upper()
-            out, at = [], 0
-            whole = {}
-            for last, code in auto.iter(text) if known else ():
-                a = last + 1 - len(code)
-                if (a == 0 or not text[a - 1].isalnum()) and (last + 1 == len(text) or not text[last + 1].isalnum()):
-                    whole[a] = code
-            while at < len(text):
-                if at in whole:
-                    out.append(whole[at])
-                    at += len(whole[at])
-                elif text[at].isalnum():
-                    end = at
-                    while end < len(text) and text[end].isalnum():
-                        end += 1
-                    out.append(text[at:end])
-                    at = end
-                else:
-                    at += 1
-            return out
+        cover = CodeCover(known)
+
+        def split(text: str) -> list[str]:
+            runs = re.findall(r"[^\W_]+", text.upper())
+            return [c for r in runs if r != null_word.upper() for c in cover.cut(r)]
 
         for b in batches:
             yield b.map(split)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return _exploded(cells, key, column, run)
+    df = cells.where(cell.isNotNull()).select(F.col(key).alias("row_key"), cell.alias("__cell"))
+    return _pieces(df.select("row_key", F.pandas_udf(run, "array<string>")("__cell").alias("__items")))

@@ -1,6 +1,6 @@
 import random
 
-from fundlens.operators.packed import Segmenter, learn_dictionary, split_cells, split_codes
+from fundlens.operators.packed import CodeCover, Segmenter, learn_dictionary, split_cells, split_codes
 
 NAMES = ["Alpha Fund", "Ministry of Finance, Velmora", "Pool A; Pool B Vehicle", "Blue/Green Window", 'Fund "Amber"; Series 2', "Meridian | Desk", "Beta Trust"]
 
@@ -42,3 +42,44 @@ def test_frames(spark):
     ref = spark.createDataFrame([("AA",), ("BB",)], "iso2 string")
     got = sorted(map(tuple, split_codes(codes, "id", "cell", ref).collect()))
     assert [r[3] for r in got] == ["Z1", "AA", "AA", "BB", "AA", "ZZ", "AA", "BB", "AA"]
+
+
+def test_dictionary_decides():
+    """Cells that separators and quotes alone don't tell: each comes out wrong without the dictionary."""
+    cells = {
+        "Alpha Fund, Ministry of Finance, Velmora": ["Alpha Fund", "Ministry of Finance, Velmora"],
+        "Pool A; Pool B Vehicle; Beta Trust": ["Pool A; Pool B Vehicle", "Beta Trust"],
+        "Alpha Fund / Meridian | Desk": ["Alpha Fund", "Meridian | Desk"],
+        "Ministry of Finance, Velmora,Ministry of Finance, Velmora": ["Ministry of Finance, Velmora"] * 2,
+    }
+    for cell, items in cells.items():
+        assert Segmenter(NAMES).split(cell) == items and Segmenter([]).split(cell) != items, cell
+
+
+def test_join_beyond_the_bound(spark):
+    """The join to the names gives what the automaton of all names gives, on learnt names and hard cells."""
+    rng = random.Random(6)
+    cells = ['"' + n.replace('"', '""') + '"; Alpha Fund' for n in NAMES for _ in range(2)] + NAMES + ["", " ;; ", "x" * 50_000 + ", y", None]
+    cells += [rng.choice(["; ", ", ", " / ", "|"]).join(rng.choice([n, '"' + n.replace('"', '""') + '"', "New, Co", "Other"]) for n in rng.choices(NAMES, k=rng.randint(1, 5))) for _ in range(150)]
+    df = spark.createDataFrame([(k % 150, c, "clash") for k, c in enumerate(cells)], "id long, cell string, item string")
+    one, other = (sorted(map(tuple, split_cells(df, "id", "cell", most=m).collect())) for m in (1000, 1))
+    assert one == other and len(one) > 300
+    assert one != sorted(map(tuple, split_cells(df, "id", "cell", names=[]).collect()))
+    assert split_cells(df.limit(0), "id", "cell", most=0).count() == 0
+
+
+def test_codes_without_separators(spark):
+    cover = CodeCover(["AA", "AB", "BA", "ABA", "Z1"])
+    assert cover.cut("AAZ1AB") == ["AA", "Z1", "AB"] and cover.cut("ABA") == ["ABA"] and cover.cut("ABABA") == ["ABA", "BA"]
+    assert cover.cut("AAX") == ["AAX"] and CodeCover([]).cut("AB") == ["AB"]
+    cells = [(1, "aaz1"), (2, "Z1;AA"), (3, "z1"), (4, "none, AB"), (5, "NONE"), (6, "AAQQ"), (7, None), (8, ""), (9, "AB" * 20_000), (9, "AA_AB")]
+    codes = spark.createDataFrame([("aa",), ("AB",), (None,), ("",), ("AB",)], "iso2 string")
+    df = spark.createDataFrame(cells, "id long, cell string")
+    got = split_codes(df, "id", "cell", codes)
+    held = {}
+    for r in sorted(map(tuple, got.where("row_key < 9").collect())):
+        held.setdefault(r[0], []).append(r[3])
+    assert held == {1: ["AA", "Z1"], 2: ["Z1", "AA"], 3: ["Z1"], 4: ["AB"], 6: ["AAQQ"]}
+    assert got.where("row_key = 9").count() == 20_002
+    assert {r["item"] for r in split_codes(df.where("id = 1"), "id", "cell", codes.limit(0)).collect()} == {"AAZ1"}
+    assert split_codes(df.limit(0), "id", "cell", codes).count() == 0
