@@ -49,7 +49,9 @@ PHYSICAL = {
     "w": ({"M": 1, "L": 2, "T": -3}, 1.0, 0.0), "kw": ({"M": 1, "L": 2, "T": -3}, 1e3, 0.0), "mw": ({"M": 1, "L": 2, "T": -3}, 1e6, 0.0),
     "kwh": ({"M": 1, "L": 2, "T": -2}, 3.6e6, 0.0), "%": ({}, 1e-2, 0.0),
 }
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|u\.s\.\s*dollars?|us\s+dollars?|minor units|us\$|[^\W\d_]+|[$€£¥%*·/^()]")
+_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|u\.s\.\s*dollars?|us\s+dollars?|minor units|per\s?cent\b|us\$|[^\W\d_]+|[$€£¥%*·/^()]")
+#: Tokens that join the parts of a unit.
+_JOINING = {"*", "·", "of", "de", "/", "per", "(", ")", "^"}
 _RESTATED = re.compile(r"\b(already|converted|full units|scaled up|single|full dollars)\b")
 
 
@@ -167,19 +169,40 @@ class Grammar:
     def statement(self, prose: str | None) -> int | None:
         """The power of ten that a sentence states for its amounts; 0 if it says they are single units; else None.
 
-        The longest run of tokens that parses as a unit with a power of ten is the statement; a sentence
-        that says the amounts were already converted states single units.
+        In each clause the longest run of tokens that parses as a unit with a scale is the statement, and the
+        first clause with one decides; a clause that says the amounts were already converted states single
+        units.  A scale of one or two letters counts only beside a currency.
         """
         found: int | None = None
         for clause in re.split(r"[;.](?:\s|$)", prose or ""):
-            toks = self.tokens(clause)
-            powers = [SCALE_WORDS[t] for t in toks if t in SCALE_WORDS and t not in ("m", "mil", "k", "cr")]
-            if _RESTATED.search(clause.casefold()) and (powers or "dollar" in clause.casefold() or "unit" in clause.casefold()):
+            unit = self.longest_unit(self.tokens(clause))
+            if _RESTATED.search(clause.casefold()) and (unit or "dollar" in clause.casefold() or "unit" in clause.casefold()):
                 return 0
-            if powers and found is None:
-                found = powers[0]
+            if unit and found is None:
+                found = unit.exp10
         return found
 
+    def longest_unit(self, toks: list[str]) -> Unit | None:
+        """The unit of the longest run of tokens that parses and has a scale word or a power; the first of equal ones."""
+        part = [t in _JOINING or t.isdigit() or self.atom(t) is not None for t in toks]
+        best: tuple[int, Unit] | None = None
+        for i, fits in enumerate(part):
+            if not fits or toks[i] in _JOINING - {"("}:
+                continue
+            end = next((k for k in range(i, len(toks)) if not part[k]), len(toks))
+            for j in range(end, i, -1):
+                if best and j - i <= best[0]:
+                    break
+                run = toks[i:j]
+                if not any(t in SCALE_WORDS for t in run) and "^" not in run:
+                    continue
+                self._at = 0
+                unit = self._expr(run)
+                if unit is None or self._at < len(run) or not unit.exp10 or (not unit.dims and all(len(t) < 3 or t == "mil" for t in run)):
+                    continue
+                best = (j - i, unit)
+        return best[1] if best else None
+
 
 @lru_cache(maxsize=64)
 def grammar(codes: tuple[str, ...], money_only: bool = True) -> Grammar:
@@ -238,8 +261,9 @@ def statement_column(prose: Column, codes: list[str]) -> Column:
     return F.pandas_udf(parse, "int")(prose)
 
 
-#: Powers of ten that amounts without any stated unit are printed in; others are not inferred from figures.
-FIGURE_EXPONENTS = (-2, 0, 3, 6, 9)
+#: Powers of ten that amounts without any stated unit are printed in, and how far (in powers of ten) the figures
+#: may be off; lakhs and crores lie between others and must fit well.
+FIGURE_EXPONENTS = {-2: 0.9, 0: 0.9, 3: 0.9, 6: 0.9, 9: 0.9, 5: 0.3, 7: 0.3}
 #: |amounts| from here on are placeholders for "unknown", not quantities.
 PLACEHOLDER = 9e13
 
@@ -291,8 +315,8 @@ def to_single_units(
         F.log10(w * rate / a) - 0.1,
     )
     near = F.lit(None).cast("int")
-    for e in FIGURE_EXPONENTS:
-        near = F.when(F.abs(off - e) < 0.9, F.lit(e)).otherwise(near)
+    for e, far in FIGURE_EXPONENTS.items():  # the later ones first
+        near = F.when(F.abs(off - e) < far, F.lit(e)).otherwise(near)
     df = df.withColumn("__figure", F.when(usable, near))
     text = F.when(F.col("__u.exp10") != 0, F.col("__u.exp10"))
     df = df.withColumn("exp10", F.when(usable & F.col("__code").isNotNull(), F.coalesce(text, "__note", "__figure", "__said", F.lit(0))))

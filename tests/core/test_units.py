@@ -81,3 +81,24 @@ def test_to_single_units(spark):
 
 def test_empty(spark):
     assert _run(spark, []) == {}
+
+
+def test_statements_are_parsed():
+    g = units.grammar(("EUR", "QTN", "USD"))
+    said = {
+        "Reported in billions (10^9) of USD": 9, "amounts in EUR thousands; no coordinates": 3, "in 10^5 QTN": 5, "all values in USD m": 6, "values in crores": 7,
+        "3 million people reached, amounts in thousand EUR": 3, "10 per cent in 2019": None, "100 USD were paid": None, "k": None, "m": None, "mil": None, "": None, None: None,
+        "printed in thousands of dollars, already scaled up to single USD": 0, "no scale stated": None, "of of / (": None, "USD per thousand": -3, "x" * 100_000: None,
+    }
+    assert {t: g.statement(t) for t in said} == said
+
+
+def test_lakhs_and_crores_from_figures(spark):
+    rows = [(1, 2.5, 250_000.0), (2, 2.5, 25_000_000.0), (3, 2.5, 2_500_000.0), (4, 2.5, 2.4), (5, 2.5, None)]
+    df = spark.createDataFrame(
+        [(k, a, "USD", None, None, u, None, None, 2010, None) for k, a, u in rows],
+        "row_id long, loan_amount double, loan_currency string, data_quality_notes string, official_source_id string, loan_amount_usd double, total_commitment double, commitment_currency string, approval_year int, commitment_year int",
+    )
+    fx = spark.createDataFrame([("EUR", 2010, 0.8)], "series_code string, fx_year int, units_per_usd double")
+    sources = spark.createDataFrame([], "source_id string, scope_note string")
+    assert {r["row_id"]: r["exp10"] for r in units.to_single_units(df, fx, sources).collect()} == {1: 5, 2: 7, 3: 6, 4: 0, 5: 0}
