@@ -12,7 +12,7 @@ from fundlens.operators import units
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "project_records")
-    return truth.resolve(rows, load(spark, sf_dir, "official_sources")).select("group_id", "survivor_id")
+    return truth.resolve(rows, load(spark, sf_dir, "official_sources"), fused=False).select("group_id", "survivor_id")
 
 
 def p1_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
