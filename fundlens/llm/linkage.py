@@ -1,8 +1,8 @@
 """Matching entities across sources without keys: heuristic votes and a generative label model.
 
 Candidates come from equi-joins: a rare word of the name (up to one slip) together with the country, the
-size of the amount or the year; for a place with many names, and for rows without such a word, two of these.  Matching functions vote on each candidate with a level (agree, close,
-differ, ...) or abstain.  A generative model - a mixture of match and non-match whose factors are the
+size of the amount or the year; for a place with many names, and for rows without such a word, two of these.
+Matching functions vote on each candidate with a level (agree, close, differ, ...) or abstain.  A generative model - a mixture of match and non-match whose factors are the
 functions' levels, with the most dependent functions modelled jointly - learns from the unlabelled vote
 patterns how often each function says what; its posterior is the confidence.  A one-to-one assignment by
 mutual best follows.
@@ -107,10 +107,8 @@ def candidates(left: DataFrame, right: DataFrame, generic: list[str], hot: list[
     word two of country, amount and year must agree, or the only one that both sides have.  A row without a
     rare or hot word over 3 letters is compared so by any of its words; ``d`` is null if that is one of kind.
     """
-    common = F.array(*[F.lit(w) for w in generic]) if generic else F.array().cast("array<string>")
     distinct = F.array_distinct("tokens")
-    rare = F.filter(F.array_except(distinct, common), lambda t: F.length(t) > 3)
-    form = F.array(*[F.lit(w) for w in sorted(FORM_WORDS)])
+    rare = F.filter(distinct, lambda t: (F.length(t) > 3) & ~t.isin(generic))
 
     def by(df: DataFrame, which: Column) -> DataFrame:
         return df.select("id", "country", "year", "usd", F.explode(which).alias("w"))
@@ -158,12 +156,12 @@ def candidates(left: DataFrame, right: DataFrame, generic: list[str], hot: list[
         near = near.where("hot").drop("hot")
         found = found.unionByName(met(ll.join(near.select(F.col("lw").alias("w")).distinct(), "w", "left_semi"), strict(own, True), rr, strict(wide, False), near))
     # rows that no word above leads to
-    said = F.array_except(distinct, form)
+    said = F.filter(distinct, lambda t: ~t.isin(sorted(FORM_WORDS)))
     said = F.when(F.size(said) > 0, said).otherwise(distinct)
     bare = (F.size(rare) == 0) & (F.size(distinct) > 0)
-    meant = F.when(~F.array_contains(F.array_union(common, form), F.col("w")), 0)
+    meant = F.when(~F.col("w").isin(sorted({*generic, *FORM_WORDS})), 0)
     for a, b in ((left.where(bare), right), (left, right.where(bare))):
-        if not (a if b is right else b).isEmpty():
+        if not (a if b is right else b).select("id").isEmpty():
             a = by(a, said).select(F.col("id").alias("lid"), "w", F.explode(strict(own, True)).alias("key"))
             b = by(b, said).select(F.col("id").alias("rid"), "w", F.explode(strict(wide, False)).alias("key"))
             found = found.unionByName(a.join(b, ["w", "key"]).select("lid", "rid", meant.alias("d")))
@@ -172,9 +170,8 @@ def candidates(left: DataFrame, right: DataFrame, generic: list[str], hot: list[
 
 def translations(pairs: DataFrame, generic: list[str]) -> dict[str, set[str]]:
     """What the generic words of one side stand for on the other, learnt from sure candidates."""
-    common = F.array(*[F.lit(w) for w in generic]) if generic else F.array().cast("array<string>")
     sure = pairs.where("place = 0 AND country = 1 AND amount = 0 AND stage = 1 AND year IN (0, 1)")
-    sure = sure.select(F.array_intersect("ltokens", common).alias("lt"), F.array_intersect("rtokens", common).alias("rt"), (F.col("lcopies").cast("long") * F.col("rcopies")).alias("w"))
+    sure = sure.select(*[F.filter(F.array_distinct(f"{x}tokens"), lambda t: t.isin(generic)).alias(f"{x}t") for x in "lr"], (F.col("lcopies").cast("long") * F.col("rcopies")).alias("w"))
     both = sure.select(F.explode("rt").alias("r"), "lt", "w").select("r", F.explode("lt").alias("l"), "w").groupBy("r", "l").agg(F.sum("w").alias("n"))
     alone = sure.select(F.explode("rt").alias("r"), "w").groupBy("r").agg(F.sum("w").alias("nr"))
     left = sure.select(F.explode("lt").alias("l"), "w").groupBy("l").agg(F.sum("w").alias("nl"))
@@ -341,9 +338,9 @@ def link(left: DataFrame, right: DataFrame, country_words: list[str], least: flo
     generic, hot = frequent_words(ll, rr, country_words)
     pairs = candidates(ll, rr, generic, hot)
     # only the words of purpose travel with the pairs
-    kind = F.array(*[F.lit(w) for w in sorted(set(generic) - FORM_WORDS - set(country_words))]).cast("array<string>")
-    idle = F.array(*[F.lit(w) for w in sorted(FORM_WORDS | set(country_words))])
-    ll, rr = ll.withColumn("tokens", F.array_intersect("tokens", kind)), rr.withColumn("tokens", F.array_except("tokens", idle))
+    kind, idle = sorted(set(generic) - FORM_WORDS - set(country_words)), sorted(FORM_WORDS | set(country_words))
+    ll = ll.withColumn("tokens", F.filter(F.array_distinct("tokens"), lambda t: t.isin(kind)))
+    rr = rr.withColumn("tokens", F.filter(F.array_distinct("tokens"), lambda t: ~t.isin(idle)))
     pairs = pairs.join(ll.select(*[F.col(c).alias(f"l{c}") for c in cols]), "lid").join(rr.select(*[F.col(c).alias(f"r{c}") for c in cols]), "rid")
     gap = F.abs(F.log(F.col("rusd") / F.col("lusd")))
     years = F.abs(F.col("lyear") - F.col("ryear"))
