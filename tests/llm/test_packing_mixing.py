@@ -70,3 +70,18 @@ def test_mixture(spark):
         assert got[key]["tokens"] == sum(r["n_tokens"] * r["repeats"] for r in used if (r["recipe_id"], r["source"]) == key) == got[key]["budget"]
     assert abs(got[1, "big"]["actual_share"] - 0.7 / 0.9) < 1e-3 and got[1, "absent"]["tokens"] == 0 and got[2, "small"]["actual_share"] == 1
     assert mixing.mix(sizes.limit(0), targets)[0].count() == 0
+
+
+def test_budget_is_met_beyond_the_first_window():
+    """A budget that the last tokens alone can't meet: the window grows, up to the optimum."""
+    lengths, counts = [1001, 3000], [40, 200]
+    rest = 40 * 1001 + 100 * 3000  # only with all the short ones
+    take = mixing.subset(lengths, counts, rest, window=2000)
+    assert sum(n * t for n, t in zip(lengths, take)) == rest and all(t <= c for t, c in zip(take, counts))
+    assert mixing.subset([4, 6], [50_000, 50_000], 100_001) and sum(n * t for n, t in zip([4, 6], mixing.subset([4, 6], [50_000, 50_000], 100_001))) == 100_000
+    assert mixing.subset([5], [3], 99) == [3] and mixing.subset([], [], 5) == [] and mixing.subset([7], [0], 7) == [0]
+
+
+def test_given_size_reports_what_is_short():
+    plan = {b["source"]: b for b in mixing.budgets([(1, "big", 0.5, 1), (1, "small", 0.5, 2), (1, "none", 0.0, 2)], {"big": 1000, "small": 10}, size=800)}
+    assert (plan["big"]["budget"], plan["small"]["wanted"], plan["small"]["budget"], plan["none"]["budget"]) == (400, 400, 20, 0)
