@@ -6,15 +6,15 @@ are read by Spark's own readers wherever a format allows it.
 
 from __future__ import annotations
 
+import codecs
 import csv
-import gzip
 import io
 import json
 import re
 import xml.etree.ElementTree as ET
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +26,7 @@ HEAD = 8192
 # File suffixes and media types by format.
 SUFFIXES = {"csv": "csv", "tsv": "csv", "txt": "csv", "json": "json", "jsonld": "json", "xml": "xml", "iati": "xml", "xlsx": "xlsx", "xlsm": "xlsx", "zip": "zip", "parquet": "parquet"}
 MEDIA = {"text/csv": "csv", "text/tab-separated-values": "csv", "application/json": "json", "application/ld+json": "json", "application/xml": "xml", "text/xml": "xml", "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet": "xlsx", "application/zip": "zip"}
+# Keys of record lists and names of row elements, in the order they are tried.
 RECORD_KEYS = ["records", "results", "data", "projects", "items"]
 XML_ROWS = ["iati-activity", "project", "record", "item", "operation"]
 
@@ -34,14 +35,17 @@ class SourceError(ValueError):
     """A source that cannot be read as what it should be."""
 
 
-def decode(data: bytes) -> tuple[str, str]:
-    """(text, encoding): a byte order mark decides for UTF-16 first; then UTF-8, UTF-16, cp1252, Latin-1."""
+def decode(data: bytes, whole: bool = True) -> tuple[str, str]:
+    """(text, encoding): a byte order mark decides for UTF-16 first; then UTF-8, UTF-16, cp1252, Latin-1.
+
+    With ``whole`` false the data are the head of a file, which may end inside a letter.
+    """
     order = ["utf-8-sig", "utf-8", "utf-16", "cp1252", "latin-1"]
     if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
         order.insert(0, "utf-16")
     for name in order:
         try:
-            return data.decode(name), name
+            return codecs.getincrementaldecoder(name)().decode(data, whole), name
         except UnicodeDecodeError:
             continue
     return data.decode("utf-8", "replace"), "utf-8"
@@ -64,21 +68,30 @@ def sniff(head: str) -> str:
         return "\t" if "\t" in head else ","
 
 
-def _head(path: str, size: int = HEAD) -> bytes:
-    opened = gzip.open(path, "rb") if path.endswith(".gz") else open(path, "rb")  # noqa: SIM115
-    with opened as f:
-        return f.read(size)
+def head(spark: SparkSession, path: str, size: int = HEAD) -> bytes:
+    """The first bytes of a file on any file system that Spark reads; of a gzip file, of what is in it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    try:
+        data = bytes(stream.readNBytes(max(size, 1 << 16) if path.endswith(".gz") else size))
+    finally:
+        stream.close()
+    return zlib.decompressobj(31).decompress(data, size) if path.endswith(".gz") else data
+
 
+def read_delimited(spark: SparkSession, path: str, sep: str | None = None, multiline: bool | None = None) -> DataFrame:
+    """A delimited file with a header as text columns under tidy names, in Spark's reader.
 
-def read_delimited(spark: SparkSession, path: str, sep: str | None = None, multiline: bool = True) -> DataFrame:
-    """A delimited file with a header as text columns under tidy names, in Spark's reader."""
-    head = _head(path)
-    text, encoding = decode(head[: len(head) - len(head) % 2])
+    Unless said, a scan of the lines finds whether quotes hold line breaks; only then is a file one task.
+    """
+    text, encoding = decode(head(spark, path), whole=False)
     if not text.strip():
         raise SourceError("delimited source has no header row")
     charset = {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "utf-16": "UTF-16", "cp1252": "windows-1252", "latin-1": "ISO-8859-1"}[encoding]
+    if multiline is None:
+        multiline = encoding == "utf-16" or not spark.read.text(path).where(F.regexp_count("value", F.lit('"')) % 2 == 1).isEmpty()
     df = spark.read.csv(path, header=True, sep=sep or sniff(text), encoding=charset, multiLine=multiline, quote='"', escape='"', mode="PERMISSIVE")
-    return df.toDF(*[re.sub(r"\s+", " ", c.lstrip("﻿")).strip() for c in df.columns])
+    return df.toDF(*[re.sub(r"\s+", " ", c.lstrip("\ufeff")).strip() for c in df.columns])
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -103,18 +116,32 @@ def resolve(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
 
 
 def after_preamble(spark: SparkSession, path: str, header_prefix: str) -> DataFrame:
-    """A CSV whose header is the first line with a prefix; bare carriage returns end lines too."""
-    text, _ = decode(_head(path, 1 << 20))
-    lines = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
-    at = next((k for k, line in enumerate(lines) if line.lstrip('"').startswith(header_prefix)), None)
-    if at is None:
+    """A CSV whose header is the first line with a prefix; bare carriage returns end lines too, quotes may hold line breaks.
+
+    ``_ord`` is the place of a row after the header.
+    """
+
+    def cut(text: str) -> list[list[str]]:
+        lines = io.StringIO(text.replace("\r\n", "\n").replace("\r", "\n"), newline="\n")
+        while True:
+            at = lines.tell()
+            line = lines.readline()
+            if not line:
+                return []
+            if line.lstrip('"').startswith(header_prefix):
+                lines.seek(at)
+                return [r for r in csv.reader(lines) if any(x.strip() for x in r)]
+
+    found = cut(decode(head(spark, path, 1 << 20), whole=False)[0])
+    if not found:
         raise SourceError(f"no header line starting with {header_prefix!r}")
-    names = next(csv.reader([lines[at]]))
-    whole = spark.read.text(path, wholetext=True)
-    rows = whole.select(F.split(F.regexp_replace("value", "\r\n?", "\n"), "\n").alias("l")).select(F.posexplode("l").alias("n", "line")).where((F.col("n") > at) & (F.trim("line") != ""))
-    cols = [f"c{k}" for k in range(len(names))]
-    parsed = rows.select("n", F.from_csv("line", ", ".join(f"{c} STRING" for c in cols), {"quote": '"', "escape": '"'}).alias("r"))
-    return parsed.select(F.col("n").alias("_ord"), *[F.col(f"r.{c}").alias(n) for c, n in zip(cols, names, strict=True)])
+    names = found[0]
+
+    def parse(data: bytes) -> list[dict]:
+        return [dict(zip(map(str, range(len(names))), r, strict=False)) for r in cut(decode(data)[0])[1:]]
+
+    rows = _files(spark, path, parse).select("_ord", F.from_json("row", "map<string,string>").alias("r"))
+    return rows.select("_ord", *[F.col("r")[str(k)].alias(n) for k, n in enumerate(names)])
 
 
 def record_list(payload: object) -> list[dict]:
@@ -206,11 +233,16 @@ def workbook_rows(data: bytes, sheet: str | None = None, header_row: int | None
         if "xl/sharedStrings.xml" in names:
             shared = ["".join(t.text or "" for t in si.iter() if _local(t.tag) == "t") for si in ET.fromstring(z.read("xl/sharedStrings.xml"))]
         book = ET.fromstring(z.read("xl/workbook.xml"))
-        titles = [e.attrib["name"] for e in book.iter() if _local(e.tag) == "sheet"]
+        parts = {}
+        if "xl/_rels/workbook.xml.rels" in names:
+            parts = {e.attrib["Id"]: e.attrib["Target"].lstrip("/") for e in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")) if "Id" in e.attrib}
         sheets = []
-        for k, title in enumerate(titles, 1):
-            grid = []
-            for row in (e for e in ET.fromstring(z.read(f"xl/worksheets/sheet{k}.xml")).iter() if _local(e.tag) == "row"):
+        for k, e in enumerate((e for e in book.iter() if _local(e.tag) == "sheet"), 1):
+            grid, title = [], e.attrib["name"]
+            # a sheet's file is the one its relation names; its place says nothing once sheets were moved
+            part = next((parts[v] for a, v in e.attrib.items() if _local(a) == "id" and v in parts), f"worksheets/sheet{k}.xml")
+            part = part if part.startswith("xl/") else f"xl/{part}"
+            for row in (e for e in ET.fromstring(z.read(part)).iter() if _local(e.tag) == "row"):
                 cells: dict[int, str] = {}
                 for c in row:
                     letters = re.match(r"[A-Z]+", c.attrib.get("r", "A"))

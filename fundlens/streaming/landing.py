@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fundlens.core.tables import listed
 from fundlens.operators.ordered import first_by
 
 
@@ -21,18 +22,19 @@ def windowed_counts(events: DataFrame, ts: str = "ts", kind: str = "event_type",
 def upsert(store: str, keys: list[str], order: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: the newest row per key after each batch, as a new version of the table.
 
-    A version is written whole before the pointer moves, so a lost executor or a repeated batch leaves the
-    same table.
+    A batch is merged into the newest whole version before it, whatever its number, so batches without rows may
+    be left out; a repeated batch writes its version again from the same one.  A version of a later batch means
+    that the stream's checkpoint and the table don't belong together, which is an error.
     """
 
     def apply(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        try:
-            old = spark.read.parquet(f"{store}/v={epoch - 1}")
-            batch = old.unionByName(batch)
-        except Exception as e:  # no version yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        whole = sorted(int(n[2:]) for n in listed(spark, store) if n.startswith("v=") and "_SUCCESS" in listed(spark, f"{store}/{n}"))
+        if whole and whole[-1] > epoch:
+            raise ValueError(f"{store} holds batch {whole[-1]}, later than {epoch}: was the checkpoint reset?")
+        before = [v for v in whole if v < epoch]
+        if before:
+            batch = spark.read.parquet(f"{store}/v={before[-1]}").unionByName(batch)
         first_by(batch, [F.col(k) for k in keys], F.struct((-F.unix_micros(F.col(order).cast("timestamp"))).alias("o"))).write.mode("overwrite").parquet(f"{store}/v={epoch}")
 
     return apply

@@ -94,3 +94,10 @@ def test_convert(spark):
     assert (got[3]["ppp_cents"], got[3]["ppp_constant_cents"]) == (40000, 80000)
     assert [got[k]["conversion"] for k in range(4, 10)] == ["excluded-currency-suspect", "source-usd", "no-amount", "no-year", "unconverted", "source-usd"]
     assert got[4]["nominal_cents"] is None and got[9]["constant_cents"] == 0
+
+
+def test_mojibake_never_fails(spark):
+    texts = ["CÃ´te", "lâ€™eau", "Ã“ntario – x", "Â£ 5", "plain", "déjà", "Ã", "", None, "Ã©" * 50_000]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = {r["k"]: r["r"] for r in df.select("k", text.mojibake(F.col("t")).alias("r")).collect()}
+    assert [got[k] for k in range(9)] == ["Côte", "lâ€™eau", "Ã“ntario – x", "£ 5", "plain", "déjà", "Ã", "", None] and got[9] == "é" * 50_000

@@ -1,6 +1,8 @@
 import difflib
 import random
 
+import pytest
+
 from fundlens.operators import ordered, reconcile, theta
 from fundlens.streaming import landing
 
@@ -78,3 +80,13 @@ def test_upsert(spark, tmp_path):
     f(batch, 1)
     f(batch, 1)  # a repeated batch changes nothing
     assert {(r["k"], r["v"]) for r in spark.read.parquet(str(tmp_path / "s" / "v=1")).collect()} == {(1, "new"), (2, "b")}
+
+
+def test_upsert_gaps_and_resets(spark, tmp_path):
+    f = landing.upsert(str(tmp_path / "s"), ["k"], "ts")
+    row = lambda k: spark.createDataFrame([(k, "2020-01-01 00:00:00")], "k long, ts string")
+    f(row(1), 0)
+    f(row(2), 5)  # batches 1 to 4 had no rows
+    assert {r["k"] for r in spark.read.parquet(str(tmp_path / "s" / "v=5")).collect()} == {1, 2}
+    with pytest.raises(ValueError, match="later than 0"):
+        f(row(3), 0)

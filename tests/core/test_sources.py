@@ -156,3 +156,83 @@ def test_command_line():
     with pytest.raises(ValueError):
         cli.chosen(p.parse_args(["--data", "d", "--bank", "zz"]), ["a"])
     assert [cli.exit_code(*a) for a in ((1, 0, False, False), (1, 1, True, True), (0, 1, False, False), (1, 1, False, True))] == [2, 3, 0, 3]
+
+
+def test_heads_that_end_inside_a_letter(spark, tmp_path):
+    body = "id,name\n" + "".join(f"{k},été {k}\n" for k in range(3000))
+    for shift in (0, 1):
+        (tmp_path / "u.csv").write_bytes(b"x" * shift + body.encode())
+        df = files.read_delimited(spark, str(tmp_path / "u.csv"))
+        assert df.count() == 3000 and df.first()["name"] == "été 0"
+    assert files.decode("é".encode()[:1] * 1, whole=False)[1] == "utf-8-sig" and files.decode("aé".encode("utf-16")[:5], whole=False)[1] == "utf-16"
+    with gzip.open(tmp_path / "g.csv.gz", "wt") as f:
+        f.write(body)
+    assert files.head(spark, str(tmp_path / "g.csv.gz"), 7) == b"id,name"
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('id,name\n1,"a\nb"\n2,c\n')
+    (tmp_path / "p.csv").write_text('id,name\n1,"a"\n2,c\n')
+    assert [r["name"] for r in files.read_delimited(spark, str(tmp_path / "q.csv")).collect()] == ["a\nb", "c"]
+    assert [r["name"] for r in files.read_delimited(spark, str(tmp_path / "p.csv")).collect()] == ["a", "c"]
+    (tmp_path / "h.csv").write_text('Title\nNo.,Name\n1,"two\nlines"\n\n2,x\n')
+    got = files.after_preamble(spark, str(tmp_path / "h.csv"), "No.").orderBy("_ord").collect()
+    assert [(r["_ord"], r["No."], r["Name"]) for r in got] == [(0, "1", "two\nlines"), (1, "2", "x")]
+
+
+def test_moved_sheets():
+    book = io.BytesIO()
+    sheet = lambda v: f'<worksheet><sheetData><row r="1"><c r="A1" t="inlineStr"><is><t>h</t></is></c></row><row r="2"><c r="A2" t="inlineStr"><is><t>{v}</t></is></c></row></sheetData></worksheet>'
+    with zipfile.ZipFile(book, "w") as z:
+        z.writestr("xl/workbook.xml", '<workbook xmlns:r="x"><sheets><sheet name="One" r:id="b"/><sheet name="Two" r:id="a"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<R><r Id="a" Target="worksheets/sheet1.xml"/><r Id="b" Target="/xl/worksheets/sheet2.xml"/></R>')
+        z.writestr("xl/worksheets/sheet1.xml", sheet("two"))
+        z.writestr("xl/worksheets/sheet2.xml", sheet("one"))
+    assert files.workbook_rows(book.getvalue(), "One") == [{"h": "one"}] and files.workbook_rows(book.getvalue(), "Two") == [{"h": "two"}]
+
+
+def test_pages_keep_the_service_order(spark, tmp_path):
+    for a in (0, 10, 20):
+        (tmp_path / f"p{a}.json").write_text(json.dumps([{"n": a + k} for k in range(min(10, 25 - a))]))
+    df = paged.read_paged(spark, url=f"file:{tmp_path}/p{{offset}}.json", total="25", page_size="10")
+    assert [(r["_ord"], json.loads(r["row"])["n"]) for r in df.orderBy("_ord").collect()] == [(k, k) for k in range(25)]
+    with pytest.raises(files.SourceError):
+        list(paged.pages_until_short(lambda k: [{}] * 2, 2, most=5))
+    assert list(paged.pages_until_short(lambda k: [{"id": k // 2}] if k < 4 else [], 1, key="id")) == [{"id": 0}, {"id": 1}]
+
+
+def test_portals_and_listings(spark, tmp_path):
+    frames = {"a.xml": None, "b.csv": spark.range(0), "c.json": spark.range(2)}
+
+    def read(r):
+        if frames[r["url"]] is None:
+            raise files.SourceError("broken")
+        return frames[r["url"]]
+
+    got, df = paged.first_with_rows([{"url": "c.json", "format": "json"}, {"url": "a.xml", "format": "XML"}, {"url": "b.csv", "format": "CSV"}], read)
+    assert got["url"] == "c.json" and df.count() == 2
+    with pytest.raises(files.SourceError):
+        paged.first_with_rows([], read)
+    listed = [{"name": "projects-aa", "title": "AA"}, {"name": "x-organisation"}, {"name": "projects-bb", "resources": [{"url": "http://h/organisation.xml"}]}, {"name": "projects-cc"}]
+    found = list(paged.packages(lambda start: {"count": 4, "results": listed[start : start + 3]}, lambda p: paged.relevant(p, ("projects",))))
+    assert [p["name"] for p in found] == ["projects-aa", "projects-cc"] and found[0]["_source_note"] == "from the package AA"
+    pages = {"http://h/1": ["http://h/2#x", "http://other/3", "http://h/1"], "http://h/2": ["http://h/1", "http://h/4"], "http://h/4": []}
+    assert paged.crawl("http://h/1", pages.get, lambda u: True) == ["http://h/1", "http://h/2", "http://h/4"]
+    with pytest.raises(files.SourceError):
+        paged.crawl("http://h/1", pages.get, lambda u: True, most=2)
+
+
+def test_requests_are_spaced_and_logged(tmp_path):
+    waited, now = [], [0.0]
+    throttle = paged.Throttle(0.75, clock=lambda: now[0], sleep=waited.append)
+
+    class Answer(io.BytesIO):
+        pass
+
+    opened = lambda request, timeout: Answer(gzip.compress(b"body") if request.get_header("Accept-encoding") == "gzip" else b"")
+    assert paged.fetch("http://h/a", opener=opened, throttle=throttle) == paged.fetch("http://h/b", opener=opened, throttle=throttle) == b"body"
+    paged.fetch("http://i/c", opener=opened, throttle=throttle)
+    assert waited == [0.75]
+    paged.land(b"x", str(tmp_path / "r"), "http://h/a", str(tmp_path / "log"))
+    paged.land_reference(b"y", str(tmp_path / "fx.csv"), "http://h/fx")
+    assert json.loads((tmp_path / "log").read_text())["url"] == "http://h/a" and json.loads((tmp_path / "fx.csv.meta.json").read_text())["bytes"] == 1
