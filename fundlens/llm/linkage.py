@@ -332,8 +332,14 @@ def link(left: DataFrame, right: DataFrame, country_words: list[str], least: flo
     """
     alike = ["tokens", "stage", "country", "year", "usd"]
     cols = ["id", *alike, "copies"]
-    lrows, rrows = (materialize(named(side, "name").select("id", *alike)) for side in (left, right))
-    ll, rr = (materialize(rows.groupBy(*alike).agg(F.min("id").alias("id"), F.count(F.lit(1)).cast("int").alias("copies")).select(*cols)) for rows in (lrows, rrows))
+    # equal rows by a hash of 128 bits, nulls told apart by their places
+    said = [*[F.col(c).isNotNull() for c in alike], *alike]
+    same = F.struct(F.xxhash64(*said), F.xxhash64(F.lit("other"), *said)).alias("same")
+    lrows, rrows = (materialize(named(side, "name").select("id", *alike).withColumn("same", same)) for side in (left, right))
+    ll, rr = (
+        materialize(rows.groupBy("same").agg(F.min("id").alias("id"), F.count(F.lit(1)).cast("int").alias("copies"), *[F.first(c).alias(c) for c in alike]).select(*cols, "same"))
+        for rows in (lrows, rrows)
+    )
     lones, rones = ll, rr
     generic, hot = frequent_words(ll, rr, country_words)
     pairs = candidates(ll, rr, generic, hot)
@@ -373,6 +379,7 @@ def link(left: DataFrame, right: DataFrame, country_words: list[str], least: flo
     won = won.select("lid", "rid", "confidence", "lfrom", "rfrom", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("__k"))
     won = won.withColumns({"__l": F.col("lfrom") + F.col("__k"), "__r": F.col("rfrom") + F.col("__k")})
     for side, rows, ones in (("l", lrows, lones), ("r", rrows, rones)):
-        ids = numbered(rows, ones, alike).select(F.col("one").alias(f"{side}id"), F.col("copy").alias(f"__{side}"), F.col("id").alias(f"{side}row"))
+        taken = ones.select("id", "same").join(won.select(F.col(f"{side}id").alias("id")).distinct(), "id", "left_semi")
+        ids = numbered(rows.select("id", "same"), taken, ["same"]).select(F.col("one").alias(f"{side}id"), F.col("copy").alias(f"__{side}"), F.col("id").alias(f"{side}row"))
         won = won.join(ids, [f"{side}id", f"__{side}"])
     return won.select(F.col("lrow").alias("lid"), F.col("rrow").alias("rid"), "confidence")
