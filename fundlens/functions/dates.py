@@ -15,14 +15,14 @@ SPANISH_MONTHS = {
 _MONTH_NUMBERS = {m: f"{k:02d}" for k, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split(), 1)}
 
 
-def parse_date(c: Column, day_first: bool | None = None) -> Column:
+def parse_date(c: Column, day_first: bool | None = None, resolved: bool = False) -> Column:
     """A date in any of the notations met, as DATE; null where none applies.
 
     Dates with slashes whose order is unknown (``day_first`` None) are null, as they could be read two ways.
     A month without a day is its first day, a year its first of January.  Two-digit years honour
     ``day_first`` as well.
     """
-    t = F.regexp_replace(normalize_text(c), r"\s*\([^)]*\)\s*$", "")
+    t = F.regexp_replace(normalize_text(c, resolved), r"\s*\([^)]*\)\s*$", "")
     low = F.regexp_replace(F.lower(F.translate(t, "，", ",")), r",(?=\S)", ", ")
     for name, number in SPANISH_MONTHS.items():
         low = F.regexp_replace(low, rf"\b{name}\b", number)

@@ -49,10 +49,10 @@ def plain_number(token: Column, dot_is_decimal: Column | None = None) -> Column:
     )
 
 
-def parse_decimal(c: Column, dot_is_decimal: Column | None = None) -> Column:
+def parse_decimal(c: Column, dot_is_decimal: Column | None = None, resolved: bool = False) -> Column:
     """The first number of a text as DECIMAL(38,10); brackets around the text negate; null where there is none."""
     point = F.lit(False) if dot_is_decimal is None else dot_is_decimal
-    return bound(F.struct(normalize_text(c).alias("t"), point.alias("p")), lambda x: _decimal(x["t"], x["p"]))
+    return bound(F.struct(normalize_text(c, resolved).alias("t"), point.alias("p")), lambda x: _decimal(x["t"], x["p"]))
 
 
 def _decimal(t: Column, dot_is_decimal: Column) -> Column:
@@ -61,10 +61,10 @@ def _decimal(t: Column, dot_is_decimal: Column) -> Column:
     return F.when(t.rlike(r"^\(.*\)$"), -n).otherwise(n)
 
 
-def detect_currency(c: Column, default: Column | None = None) -> Column:
+def detect_currency(c: Column, default: Column | None = None, resolved: bool = False) -> Column:
     """The currency a text names by sign, name or code, in this order, else the default; null where neither."""
     other = F.lit(None).cast("string") if default is None else F.nullif(F.upper(default), F.lit(""))
-    return bound(F.struct(normalize_text(c).alias("t"), other.alias("d")), lambda x: _currency(x["t"], x["d"]))
+    return bound(F.struct(normalize_text(c, resolved).alias("t"), other.alias("d")), lambda x: _currency(x["t"], x["d"]))
 
 
 def _currency(t: Column, out: Column) -> Column:
@@ -78,19 +78,19 @@ def _currency(t: Column, out: Column) -> Column:
     return out
 
 
-def parse_amount(c: Column, default: Column | None = None) -> Column:
+def parse_amount(c: Column, default: Column | None = None, dot_is_decimal: bool = False, resolved: bool = False) -> Column:
     """``struct<amount decimal(38,4), currency string>``; magnitude words multiply, an English one makes a lone dot decimal."""
-    t = F.lower(F.translate(normalize_text(c), "áéíóúÁÉÍÓÚñ", "aeiouAEIOUn"))
+    t = F.lower(F.translate(normalize_text(c, resolved), "áéíóúÁÉÍÓÚñ", "aeiouAEIOUn"))
     word = F.regexp_extract(t, r"[\d\s](millon(?:es)?|millions?|billions?|thousand|mil|mn|bn|k|m|b)\b", 1)
-    english = (word != "") & ~word.isin(SPANISH)
-    n = parse_decimal(c, english)
+    english = F.lit(True) if dot_is_decimal else (word != "") & ~word.isin(SPANISH)
+    n = parse_decimal(c, english, resolved)
     factor = F.lit(1).cast("decimal(12,0)")
     for w, p in MAGNITUDES.items():
         factor = F.when(word == w, F.lit(10**p).cast("decimal(12,0)")).otherwise(factor)
-    return F.struct((n.cast("decimal(25,8)") * factor).cast("decimal(38,4)").alias("amount"), detect_currency(c, default).alias("currency"))
+    return F.struct((n.cast("decimal(25,8)") * factor).cast("decimal(38,4)").alias("amount"), detect_currency(c, default, resolved).alias("currency"))
 
 
-def parse_coordinate(c: Column) -> Column:
+def parse_coordinate(c: Column, resolved: bool = False) -> Column:
     """A coordinate as DECIMAL(12,8); a comma is a decimal comma, three decimals never group."""
-    t = F.regexp_replace(normalize_text(c), "[  ]", "")
+    t = F.regexp_replace(normalize_text(c, resolved), "[  ]", "")
     return F.translate(F.regexp_extract(t, r"([-+]?\d+(?:[.,]\d+)?)", 1), ",", ".").try_cast("decimal(12,8)")
