@@ -123,6 +123,11 @@ def scalar(c: Column) -> Column:
     return text.bound(F.trim(c.cast("string")), read)
 
 
+def _once(c: Column) -> Column:
+    """The same value, which the optimiser may not copy into each of its uses, as it copies elements taken from an array."""
+    return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
 def _usable(c: Column) -> Column:
     return text.tidy(c.cast("string")).isNotNull()
 
@@ -172,20 +177,22 @@ def canonical(rows: DataFrame, layout: Layout | None = None, lists: CodeLists |
     df = rows.select(*keep, F.array(*[got[f][0] for f in order], note).alias("__t"), *[got[f][1].alias(f"__{f}_by") for f in MONEY if f in order])
     # one expression over an array for all fields, amounts and dates: a plan stays as small as its parts are different
     odd = F.exists("__t", lambda t: F.contains(t, F.lit("&")))
-    df = df.withColumn("__t", F.when(odd, text.unescape_all(F.when(odd, F.col("__t")))).otherwise(F.col("__t"))).withColumn("__t", F.transform("__t", scalar))
+    df = df.withColumn("__t", F.when(odd, text.unescape_all(F.when(odd, F.col("__t")))).otherwise(F.col("__t")))
+    df = df.withColumn("__t", _once(F.transform("__t", scalar)))
     df = df.select(*[c for c in df.columns if c != "__t"], *[F.get("__t", k).alias(f"__{f}") for k, f in enumerate([*order, "source_note"])])
     col = lambda f: F.col(f"__{f}") if f in order or f == "source_note" else none
-    sums = [a for a in MONEY if a in order]
+    sums = [a for a in MONEY if a in order or MONEY[a] in order]
     days = [d for d in ("approval_date", "commitment_date", "completion_date", "first_disbursement_date", "last_disbursement_date") if d in order]
     staged = {}
     if sums:
-        stated = F.array(*[F.struct(col(a).alias("v"), F.col(f"__{a}_by").alias("n"), col(MONEY[a]).alias("c")) for a in sums])
-        staged["__money"] = F.transform(stated, lambda x: money(x["v"], x["n"], x["c"], layout))
+        stated = F.array(*[F.struct(col(a).alias("v"), (F.col(f"__{a}_by") if a in order else none).alias("n"), col(MONEY[a]).alias("c")) for a in sums])
+        staged["__money"] = _once(F.transform(stated, lambda x: money(x["v"], x["n"], x["c"], layout)))
     if days:
-        staged["__days"] = F.transform(F.array(*[col(d) for d in days]), lambda d: dates.parse_date(d, layout.day_first, resolved=True))
+        staged["__days"] = _once(F.transform(F.array(*[col(d) for d in days]), lambda d: dates.parse_date(d, layout.day_first, resolved=True)))
     df = df.withColumns(staged) if staged else df
     day = {d: F.lit(None).cast("date") for d in ("approval_date", "commitment_date", "completion_date", "first_disbursement_date", "last_disbursement_date")} | {d: F.get("__days", k) for k, d in enumerate(days)}
-    nothing = F.lit(None).cast(f"struct<amount:{_MONEY_TYPE},currency:string,usd:boolean>")
+    # a source's own currency holds for what it doesn't state too
+    nothing = F.struct(F.lit(None).cast(_MONEY_TYPE).alias("amount"), F.lit(layout.default_currency.upper() or None).cast("string").alias("currency"), F.lit(False).alias("usd"))
     m = ({a: nothing for a in MONEY} | {a: F.get("__money", k) for k, a in enumerate(sums)}).get
     countries = lists.countries
     by_two = countries.select(F.col("iso2").alias("code"), F.col("country_name").alias("name")) if countries is not None else None

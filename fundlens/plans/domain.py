@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from fundlens.core.tables import bounded_collect, load
 from fundlens.functions import codes, dates, money, numbers, text
-from fundlens.operators import audit, ids, ordered, panel, reconcile, theta
+from fundlens.operators import audit, ids, ordered, panel, project, reconcile, theta
 from fundlens.operators import records as canonical_records
-from fundlens.sources import html, official
+from fundlens.sources import html, official, sinks
 from fundlens.streaming import landing
 
 FIRST, LAST, TODAY = 2002, 2026, "2026-03-15"
@@ -320,6 +320,61 @@ def approvals_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     return official.approvals(load(spark, sf_dir, "isdb_approvals"))
 
 
+_LIST_LAYOUT = project.Layout(
+    aliases={
+        "project_id": ["afdb_identifier"], "sector": ["afdb_sector"], "funding_window": ["afdb_status"], "total_commitment": ["total_commitments_usd"], "total_disbursement": ["total_disbursements_usd"],
+    },
+    soft=("adf",), hard=("adb",), dot_is_decimal=True,
+)
+_APPROVALS_LAYOUT = project.Layout(aliases={"loan_amount": ["usd"], "location_text": ["description"]}, default_currency="USD", dot_is_decimal=True)
+_PROJECTED = ["project_id", "project_name", "country", "country_code", "approval_date", "approval_year", "commitment_date", "completion_date", "status", "sector", "financing_instrument", "concessional", "loan_amount", "loan_currency", "loan_amount_usd", "total_commitment", "commitment_currency", "total_commitment_usd", "total_disbursement", "disbursement_currency", "total_disbursement_usd", "data_quality_notes"]
+
+
+def project_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group's list as canonical records."""
+    lists = project.CodeLists(countries=load(spark, sf_dir, "ref_countries"))
+    return project.canonical(load(spark, sf_dir, "afdb_projects"), _LIST_LAYOUT, lists, keep=("rec_no",)).select("rec_no", *_PROJECTED)
+
+
+def project_approvals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of approvals, in millions and without ids, as canonical records."""
+    lists = project.CodeLists(countries=load(spark, sf_dir, "ref_countries"))
+    rows = load(spark, sf_dir, "isdb_approvals").withColumn("usd", (F.col("us_million").cast("decimal(18,6)") * 1_000_000).cast("decimal(22,4)"))
+    return project.canonical(rows, _APPROVALS_LAYOUT, lists, keep=("list_id",)).select("list_id", *_PROJECTED)
+
+
+def summary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage of every bank's records."""
+    return sinks.summary(records(spark, sf_dir), ["country_code", "sector", "loan_amount", "cofinancing_partners"])
+
+
+def merged_and_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Official rows after the merge, and the collected rows kept beside them, as one table."""
+    official_rows, live = _backbone_sides(spark, sf_dir)
+    merged = reconcile.backbone(official_rows, live, fields=["province", "status", "sector"]).withColumn("row_id", F.lit(None).cast("long"))
+    every = project.merged_and_kept(merged, live.select("row_id", "key", "province", "status", "sector", "loan_amount", "loan_currency"), backbone_unmatched(spark, sf_dir))
+    return every.select("row_id", "key", "province", "status", "sector", "loan_amount", "loan_currency", "origin")
+
+
+def merge_fills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the merge filled a field that the official row left empty."""
+    official_rows, live = _backbone_sides(spark, sf_dir)
+    base = ordered.first_by(official_rows.where("key IS NOT NULL"), [F.col("key")], F.col("ord"))
+    fields = ["province", "status", "sector", "loan_amount", "total_disbursement"]
+    return project.fill_counts(base.select("key", *fields), reconcile.backbone(official_rows, live, fields=["province", "status", "sector"]), "key", fields)
+
+
+def project_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Projects of backbone lists with the sums and terms of their loans from the supplements, own money only."""
+    r = _keyed(spark, sf_dir).where("key IS NOT NULL")
+    loans = r.where(F.array_contains("roles", "supplement")).select(
+        F.col("key").alias("project_id"), F.col("loan_amount").alias("principal"), F.col("total_disbursement").alias("disbursed"), "interest_rate",
+        F.col("completion_date").try_cast("date").alias("last_repayment_date"), F.col("approval_date").try_cast("date").alias("board_approval_date"),
+    )
+    projects = r.where(F.array_contains("roles", "backbone")).select("row_id", F.col("key").alias("project_id"), "status", F.col("loan_amount_usd").alias("arm_amount"))
+    return project.own_money(project.with_loans(projects, loans))
+
+
 def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.windowed_counts(load(spark, sf_dir, "events")).select(F.col("start").cast("string").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
 
@@ -399,6 +454,12 @@ QUERIES = {
     "html_links": html_links,
     "list_reader": list_reader,
     "approvals_reader": approvals_reader,
+    "project_list": project_list,
+    "project_approvals": project_approvals,
+    "summary_counts": summary_counts,
+    "merged_and_kept": merged_and_kept,
+    "merge_fills": merge_fills,
+    "project_loans": project_loans,
     "event_windows": event_windows,
     "star_revenue": star_revenue,
 }

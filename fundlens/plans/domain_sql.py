@@ -322,3 +322,54 @@ FROM m LEFT JOIN e ON e.load_no = m.load_no AND e.column_name = m.column_name
 """
 ORACLE_SQL["p4_profile"] = _P4_PROFILE.replace("{rows}", "")
 ORACLE_SQL["p4_withdrawn"] = _P4_PROFILE.replace("{rows}", "WHERE load_no < (SELECT max(load_no) FROM project_records)")
+
+# Names to codes as in country_codes; every column of a list is text in which a word for nothing is null.
+_CODED = """
+t AS (SELECT 1 AS tier, iso3 AS k, iso3 AS v FROM ref_countries UNION ALL SELECT 1, iso2, iso3 FROM ref_countries UNION ALL SELECT 2, country_name, iso3 FROM ref_countries UNION ALL SELECT 3, unnest(alt_names), iso3 FROM ref_countries),
+tier AS (SELECT tier, """ + _K.format(c="k") + """ AS k, min(v) AS v FROM t GROUP BY ALL HAVING """ + _K.format(c="k") + """ <> ''),
+hit AS (SELECT id, 0 AS part, tier, v FROM r JOIN tier ON tier.k = r.w UNION ALL SELECT id, 1, tier, v FROM r JOIN tier ON tier.k = r.p),
+coded AS (SELECT id, arg_min(v, part * 10 + tier) AS country_code FROM hit GROUP BY id)
+"""
+_PLACE = _K.format(c="{c}") + " AS w, " + _K.format(c="regexp_extract(" + _SAID.format(c="{c}") + ", '^([^;,]*)', 1)") + " AS p"
+_NO_CODE = "CASE WHEN country IS NOT NULL AND country_code IS NULL THEN 'no country code for ' || country END"
+ORACLE_SQL["project_list"] = (
+    "WITH r AS (SELECT rec_no AS id, *, " + _PLACE.format(c="country") + " FROM afdb_projects), " + _CODED
+    + ", x AS (SELECT rec_no, " + _SAID.format(c="afdb_identifier") + " AS project_id, " + _SAID.format(c="title") + " AS project_name, " + _SAID.format(c="r.country") + " AS country, country_code, "
+    + ", ".join(f"try_cast({_SAID.format(c=c)} AS DATE) AS {c}" for c in ("approval_date", "signature_date", "completion_date")) + ", " + _SAID.format(c="activity_status") + " AS status, " + _SAID.format(c="afdb_sector") + " AS sector, "
+    + _SAID.format(c="afdb_status") + " AS w, " + ", ".join(f"try_cast({_SAID.format(c=c)} AS DECIMAL(22,4)) AS {c}" for c in ("total_commitments_usd", "total_disbursements_usd")) + " FROM r LEFT JOIN coded ON coded.id = r.id)"
+    + " SELECT rec_no, project_id, project_name, country, country_code, approval_date, CAST(year(approval_date) AS INTEGER) AS approval_year, coalesce(signature_date, approval_date) AS commitment_date, completion_date, status, sector, NULL::VARCHAR AS financing_instrument,"
+    + " CASE upper(w) WHEN 'ADF' THEN 'Yes' WHEN 'ADB' THEN 'No' END AS concessional, NULL::DECIMAL(22,4) AS loan_amount, NULL::VARCHAR AS loan_currency, NULL::DECIMAL(22,4) AS loan_amount_usd,"
+    + " total_commitments_usd AS total_commitment, NULL::VARCHAR AS commitment_currency, total_commitments_usd AS total_commitment_usd, total_disbursements_usd AS total_disbursement, NULL::VARCHAR AS disbursement_currency, total_disbursements_usd AS total_disbursement_usd, "
+    + _NO_CODE + " AS data_quality_notes FROM x"
+)
+ORACLE_SQL["project_approvals"] = (
+    "WITH r AS (SELECT list_id AS id, *, " + _PLACE.format(c="economy") + " FROM isdb_approvals), " + _CODED
+    + ", x AS (SELECT list_id, " + _SAID.format(c="project_name") + " AS project_name, " + _SAID.format(c="economy") + " AS country, country_code, approval_year AS y, " + _SAID.format(c="status") + " AS status, " + _SAID.format(c="mode_of_finance")
+    + " AS financing_instrument, CAST(CAST(us_million AS DECIMAL(18,6)) * 1000000 AS DECIMAL(22,4)) AS a FROM r LEFT JOIN coded ON coded.id = r.id)"
+    + " SELECT list_id, NULL::VARCHAR AS project_id, project_name, country, country_code, make_date(y, 1, 1) AS approval_date, y AS approval_year, make_date(y, 1, 1) AS commitment_date, NULL::DATE AS completion_date, status, NULL::VARCHAR AS sector, financing_instrument,"
+    + " NULL::VARCHAR AS concessional, a AS loan_amount, 'USD' AS loan_currency, a AS loan_amount_usd, a AS total_commitment, 'USD' AS commitment_currency, a AS total_commitment_usd, NULL::DECIMAL(22,4) AS total_disbursement, 'USD' AS disbursement_currency, NULL::DECIMAL(22,4) AS total_disbursement_usd,"
+    + " nullif(concat_ws('; ', " + _NO_CODE + ", CASE WHEN a IS NOT NULL THEN 'commitment copied from loan amount' END), '') AS data_quality_notes FROM x"
+)
+ORACLE_SQL["summary_counts"] = (
+    "SELECT bank_id, count(*) AS n_records, " + ", ".join(f"count(*) FILTER (WHERE {_FILLED.format(c=c)}) AS n_{c}" for c in ("country_code", "sector", "loan_amount", "cofinancing_partners"))
+    + ", min(approval_year) AS first_year, max(approval_year) AS last_year FROM project_records GROUP BY bank_id"
+)
+_MERGED = ORACLE_SQL["backbone_merge"]
+_UNMATCHED = ORACLE_SQL["backbone_unmatched"]
+ORACLE_SQL["merged_and_kept"] = (
+    f"WITH m AS ({_MERGED}), u AS ({_UNMATCHED}), live AS (SELECT *, concat_ws(':', bank_id, lower(trim(project_id))) AS key FROM project_records WHERE official_source_id IS NULL)"
+    " SELECT NULL::BIGINT AS row_id, key, province, status, sector, loan_amount, loan_currency, 'official' AS origin FROM m"
+    " UNION ALL SELECT l.row_id, key, province, status, sector, loan_amount, loan_currency, decision FROM live l JOIN u ON u.row_id = l.row_id WHERE decision <> 'excluded'"
+)
+ORACLE_SQL["merge_fills"] = (
+    _BACKBONE + f", m AS (SELECT * FROM ({_MERGED})) "
+    + " UNION ALL ".join(f"SELECT '{f}' AS field, count(*) FILTER (WHERE off.{f} IS NULL AND m.{f} IS NOT NULL) AS n_filled FROM off JOIN m ON m.key = off.key" for f in ("province", "status", "sector", "loan_amount", "total_disbursement"))
+)
+ORACLE_SQL["project_loans"] = (
+    _IDS + """, k AS (SELECT *, bank_id || ':' || k AS key FROM ids WHERE k IS NOT NULL AND bank_id IS NOT NULL),
+per AS (SELECT key, count(*) AS n_loans, sum(loan_amount) AS loan_principal, sum(total_disbursement) AS loan_disbursed, coalesce(string_agg(DISTINCT interest_rate, '; ' ORDER BY interest_rate), '') AS interest_rates,
+  CASE WHEN count(DISTINCT interest_rate) = 1 THEN max(interest_rate) END AS single_rate, coalesce(string_agg(DISTINCT CAST(try_cast(completion_date AS DATE) AS VARCHAR), '; ' ORDER BY CAST(try_cast(completion_date AS DATE) AS VARCHAR)), '') AS last_repayment_dates,
+  min(approval_date) AS first_board_date FROM k WHERE list_contains(roles, 'supplement') GROUP BY key)
+SELECT k.row_id, k.key AS project_id, status, loan_amount_usd AS arm_amount, coalesce(n_loans, 0) AS n_loans, loan_principal, loan_disbursed, interest_rates, single_rate, last_repayment_dates, first_board_date FROM k LEFT JOIN per ON per.key = k.key
+WHERE list_contains(roles, 'backbone') AND (coalesce(loan_amount_usd > 0, false) OR coalesce(loan_principal <> 0, false)) AND (coalesce(lower(trim(status)) <> 'dropped', true) OR coalesce(loan_principal <> 0, false))"""
+)
