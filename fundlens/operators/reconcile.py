@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlens.core.tables import materialize
-from fundlens.functions.text import similarity, word_key
+from fundlens.functions.text import similarity_from, word_key
 from fundlens.operators.ordered import first_by
 
 
@@ -83,7 +83,8 @@ def fuzzy_pairs(official: DataFrame, live: DataFrame, *, ratio: float = 0.8, rat
     """Scored candidates (oid, lid, score, country): same country, years at most one apart.
 
     Both sides: id, name, country, year, usd.  Two names pass at ``ratio``, or at a lower one if the amounts
-    are within ``tolerance``.  Lengths bound the ratio, so most pairs are ruled out before any comparison.
+    are within ``tolerance``.  Lengths, then the letters that both names have, bound the ratio, so most pairs are
+    ruled out before any comparison.
     """
     o = official.select(F.col("id").alias("oid"), "country", F.explode(F.array("year", F.col("year") - 1, F.col("year") + 1)).alias("__y"), F.col("year").alias("oy"), word_key(F.col("name")).alias("on"), F.col("usd").alias("ou"))
     n = live.select(F.col("id").alias("lid"), "country", F.col("year").alias("__y"), word_key(F.col("name")).alias("ln"), F.col("usd").alias("lu"))
@@ -91,7 +92,7 @@ def fuzzy_pairs(official: DataFrame, live: DataFrame, *, ratio: float = 0.8, rat
     both = o.join(n, ["country", "__y"])
     a, b = F.length("on"), F.length("ln")
     possible = 2.0 * F.least(a, b) / (a + b) >= F.when(close, ratio_with_amount).otherwise(ratio)
-    scored = both.where(possible).withColumn("__close", close).withColumn("__r", similarity("on", "ln"))
+    scored = both.where(possible).withColumn("__close", close).withColumn("__r", similarity_from("on", "ln", F.when(close, ratio_with_amount).otherwise(ratio)))
     kept = scored.where((F.col("__r") >= ratio) | (F.col("__close") & (F.col("__r") >= ratio_with_amount)))
     score = F.col("__r") + 0.1 * F.col("__close").cast("int") - 0.01 * F.abs(F.col("__y") - F.col("oy"))
     return kept.select("oid", "lid", "country", score.alias("score"))
@@ -135,7 +136,8 @@ def absorb(approvals: DataFrame, records: DataFrame, *, tolerance: float = 0.01,
     close = F.coalesce((F.col("aa") > 0) & (F.abs(F.col("ra") - F.col("aa")) <= F.col("aa") * tolerance), F.lit(False))
     x, y = F.length("an"), F.length("rn")
     both = a.join(r, ["country", "year"]).where(close | (2.0 * F.least(x, y) / (x + y) >= ratio)).withColumn("__close", close)
-    alike = F.when(~F.col("__close"), similarity("an", "rn")).otherwise(1.0)
+    # where the amount decides, names aren't compared
+    alike = F.when(~F.col("__close"), similarity_from(F.when(~F.col("__close"), F.col("an")), "rn", F.lit(ratio))).otherwise(1.0)
     kept = both.withColumn("__r", alike).where(F.col("__close") | (F.col("__r") >= ratio))
     wish = F.struct(F.col("__close").alias("c"), F.when(F.col("__close"), 0.0).otherwise(F.col("__r")).alias("r"), (-F.col("ro")).alias("o"), (-F.col("rid")).alias("i"))
     turn = F.struct((-F.col("ao")).alias("o"), (-F.col("aid")).alias("i"))

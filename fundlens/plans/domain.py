@@ -71,6 +71,13 @@ def panel_invariant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel.broken(panel.panel(ops, FIRST, LAST), panel.unallocated(ops, FIRST, LAST), panel.control(ops, FIRST, LAST))
 
 
+def panel_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals that fail where the panel lost the rows of one bank and year."""
+    ops = operations(spark, sf_dir)
+    lossy = ops.where("NOT (coalesce(bank_id = 'kdb', false) AND coalesce(analysis_year = 2010, false))")
+    return panel.broken(panel.panel(lossy, FIRST, LAST), panel.unallocated(ops, FIRST, LAST), panel.control(ops, FIRST, LAST))
+
+
 def panel_private_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     ops = operations(spark, sf_dir)
     private = ops.where("loan_type = 'Non-sovereign' AND code IS NOT NULL").select("bank_id", "code", F.col("analysis_year").alias("year"), F.lit(1).alias("n"), "nominal_cents", "constant_cents").where("year IS NOT NULL")
@@ -232,9 +239,12 @@ def fuzzy_match_1to1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def absorb_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = load(spark, sf_dir, "isdb_approvals").select(F.col("list_id").alias("id"), F.col("project_name").alias("name"), F.col("economy").alias("country"), F.col("approval_year").alias("year"), (F.col("us_million") * 1e6).alias("amount"), F.col("list_id").alias("ord"))
-    r = records(spark, sf_dir).select(F.col("row_id").alias("id"), F.col("project_name").alias("name"), "country", F.col("approval_year").alias("year"), F.col("loan_amount_usd").alias("amount"), F.col("row_id").alias("ord"))
-    return reconcile.absorb(a, r)
+    """Approvals absorbed by records of the same country code and year of the dates; names without a code share one block."""
+    tiers = codes.country_tiers(load(spark, sf_dir, "ref_countries"))
+    coded = lambda df, name: codes.tiered_lookup(df, name, tiers, "__code").withColumn("country", F.coalesce("__code", F.lit("")))
+    a = coded(load(spark, sf_dir, "isdb_approvals"), "economy").select(F.col("list_id").alias("id"), F.col("project_name").alias("name"), "country", F.col("approval_year").alias("year"), (F.col("us_million") * 1e6).alias("amount"), F.col("list_id").alias("ord"))
+    r = coded(_dated(spark, sf_dir), "country").withColumn("year", F.coalesce(F.year("approval_date"), F.year("commitment_date")))
+    return reconcile.absorb(a, r.select(F.col("row_id").alias("id"), F.col("project_name").alias("name"), "country", "year", F.col("loan_amount_usd").alias("amount"), F.col("row_id").alias("ord")))
 
 
 def _donor_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -413,6 +423,7 @@ QUERIES = {
     "panel_levels": _q(lambda o: panel.with_totals(o, FIRST, LAST)),
     "panel_balanced": panel_balanced,
     "panel_invariant": panel_invariant,
+    "panel_broken": panel_broken,
     "panel_private_outer": panel_private_outer,
     "conversion_tally": _q(panel.conversion_tally),
     "ppp_missing": _q(panel.ppp_missing),

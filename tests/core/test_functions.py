@@ -101,3 +101,17 @@ def test_mojibake_never_fails(spark):
     df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
     got = {r["k"]: r["r"] for r in df.select("k", text.mojibake(F.col("t")).alias("r")).collect()}
     assert [got[k] for k in range(9)] == ["Côte", "lâ€™eau", "Ã“ntario – x", "£ 5", "plain", "déjà", "Ã", "", None] and got[9] == "é" * 50_000
+
+
+def test_similarity_from_a_bound(spark):
+    """The bounded ratio against difflib, pair by pair."""
+    import difflib
+    import random
+
+    rng = random.Random(2)
+    texts = ["", None, "a", "é漢", "x" * 3000] + ["".join(rng.choice("abc d") for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    pairs = [(x, y, rng.choice([0.0, 0.5, 0.8, 1.0])) for x in texts for y in rng.sample(texts, 12)]
+    df = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "k int, a string, b string, least double")
+    for r in df.withColumn("r", text.similarity_from("a", "b", "least")).collect():
+        want = difflib.SequenceMatcher(None, r["a"], r["b"]).ratio() if r["a"] is not None and r["b"] is not None else 0.0
+        assert r["r"] == want or (r["r"] == 0.0 and want < r["least"]), r
