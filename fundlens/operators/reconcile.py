@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlens.core.tables import materialize
+from fundlens.functions.alike import Names, alike
 from fundlens.functions.text import similarity_from, word_key
 from fundlens.operators.ordered import first_by
 
@@ -79,6 +84,68 @@ def group_by_number(live: DataFrame, number: str, order: str = "ord", bank: str
     return grouped.unionByName(loose.select(*grouped.columns))
 
 
+def _in_blocks(left: DataFrame, right: DataFrame, *order: Column) -> DataFrame:
+    """The rows of both sides (``__side`` 0 and 1) block by block, each whole block in one partition."""
+    both = left.withColumn("__side", F.lit(0)).unionByName(right.withColumn("__side", F.lit(1))).where("__block IS NOT NULL AND id IS NOT NULL")
+    # so many tasks in any case: the work is in the pairs, not in the bytes by which small partitions are put together
+    return both.repartition(int(both.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__block").sortWithinPartitions("__block", "__side", *order)
+
+
+def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[dict[str, np.ndarray], dict[str, np.ndarray]]]:
+    """The columns of both sides of every block that has rows on both."""
+    held: list[dict[str, np.ndarray]] = []
+
+    def sides() -> Iterator[tuple[dict[str, np.ndarray], dict[str, np.ndarray]]]:
+        side = np.concatenate([h["__side"] for h in held])
+        cut = int(np.searchsorted(side, 1))
+        if 0 < cut < len(side):
+            whole = {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+            yield {c: v[:cut] for c, v in whole.items()}, {c: v[cut:] for c, v in whole.items()}
+
+    for b in batches:
+        if not len(b):
+            continue
+        columns = {c: b[c].to_numpy() for c in b.columns}
+        block = columns["__block"]
+        edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            if held and held[0]["__block"][0] != block[lo]:
+                yield from sides()
+                held.clear()
+            held.append({c: v[lo:hi] for c, v in columns.items()})
+    if held:
+        yield from sides()
+
+
+class _Amounts:
+    """Amounts in order; of a given amount the places that lie within a tolerance."""
+
+    def __init__(self, amounts: np.ndarray):
+        there = np.flatnonzero(~np.isnan(amounts))
+        self.places = there[np.argsort(amounts[there], kind="stable")]
+        self.sorted = amounts[self.places]
+
+    def near(self, amounts: np.ndarray, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
+        """First and last (excluded) position that may be near each amount, a little too wide."""
+        wide = amounts * tolerance + np.abs(amounts) * 1e-9
+        with np.errstate(invalid="ignore"):
+            lo = np.searchsorted(self.sorted, np.nan_to_num(amounts - wide, nan=-np.inf), "left")
+            hi = np.searchsorted(self.sorted, amounts + wide, "right")
+        return lo, np.where(np.isnan(amounts), lo, np.maximum(lo, hi))
+
+
+def _near(theirs: np.ndarray, amount: np.ndarray | float, tolerance: float) -> np.ndarray:
+    with np.errstate(invalid="ignore"):
+        return np.abs(theirs - amount) <= amount * tolerance
+
+
+def _by_name(codes: np.ndarray, names: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows in the order of their names, and where the rows of each name begin and end there."""
+    order = np.argsort(codes, kind="stable")
+    at = np.searchsorted(codes[order], np.arange(names + 1))
+    return order, at[:-1], at[1:]
+
+
 def fuzzy_pairs(official: DataFrame, live: DataFrame, *, ratio: float = 0.8, ratio_with_amount: float = 0.5, tolerance: float = 0.02) -> DataFrame:
     """Scored candidates (oid, lid, score, country): same country, years at most one apart.
 
@@ -130,18 +197,64 @@ def absorb(approvals: DataFrame, records: DataFrame, *, tolerance: float = 0.01,
     Both sides: id, name, country, year, amount, ord.  Inside a country and year an approval takes the first
     free record within ``tolerance`` of its amount, else the free record with the most similar name from
     ``ratio`` on; approvals choose in order.  Approvals without a record are the rows to add.
+
+    Each block is one pass: close amounts are looked up in order, names are compared only for approvals that find none.
     """
-    a = approvals.select(F.col("id").alias("aid"), "country", "year", F.col("amount").cast("double").alias("aa"), F.col("ord").alias("ao"), word_key(F.col("name")).alias("an"))
-    r = records.select(F.col("id").alias("rid"), "country", "year", F.col("amount").cast("double").alias("ra"), F.col("ord").alias("ro"), word_key(F.col("name")).alias("rn"))
-    close = F.coalesce((F.col("aa") > 0) & (F.abs(F.col("ra") - F.col("aa")) <= F.col("aa") * tolerance), F.lit(False))
-    x, y = F.length("an"), F.length("rn")
-    both = a.join(r, ["country", "year"]).where(close | (2.0 * F.least(x, y) / (x + y) >= ratio)).withColumn("__close", close)
-    # where the amount decides, names aren't compared
-    alike = F.when(~F.col("__close"), similarity_from(F.when(~F.col("__close"), F.col("an")), "rn", F.lit(ratio))).otherwise(1.0)
-    kept = both.withColumn("__r", alike).where(F.col("__close") | (F.col("__r") >= ratio))
-    wish = F.struct(F.col("__close").alias("c"), F.when(F.col("__close"), 0.0).otherwise(F.col("__r")).alias("r"), (-F.col("ro")).alias("o"), (-F.col("rid")).alias("i"))
-    turn = F.struct((-F.col("ao")).alias("o"), (-F.col("aid")).alias("i"))
-    return assign(kept, "aid", "rid", wish, turn).select("aid", "rid")
+    there = F.col("country").isNotNull() & F.col("year").isNotNull()
+    side = lambda df: df.select(F.when(there, F.concat_ws("\u0001", "country", F.col("year").cast("string"))).alias("__block"), "id", "ord", word_key(F.col("name")).alias("name"), F.col("amount").cast("double").alias("amount"))
+    both = _in_blocks(side(approvals), side(records), F.col("ord").asc_nulls_last(), F.col("id")).drop("ord")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for a, r in _blocks(batches):
+            taken = _absorbed(a["amount"], a["name"], r["amount"], r["name"], tolerance, ratio)
+            yield pd.DataFrame({"aid": a["id"][taken >= 0], "rid": r["id"][taken[taken >= 0]]})
+
+    return both.mapInPandas(run, "aid long, rid long")
+
+
+def _absorbed(a_amount: np.ndarray, a_name: np.ndarray, r_amount: np.ndarray, r_name: np.ndarray, tolerance: float, ratio: float) -> np.ndarray:
+    """Of each approval of a block, in order, the place of its record, or -1."""
+    a_code, a_names = pd.factorize(a_name)
+    r_code, r_names = pd.factorize(r_name)
+    known = Names(list(r_names))
+    order, first, last = _by_name(r_code, len(r_names))
+    amounts = _Amounts(r_amount)
+    lo, hi = amounts.near(np.where(a_amount > 0, a_amount, np.nan), tolerance)
+    taken, none = np.zeros(len(r_amount), dtype=bool), len(r_amount)
+    free = amounts.places.copy()  # a taken record counts as none
+    position = np.zeros(len(r_amount), dtype=np.int64)
+    position[amounts.places] = np.arange(len(free))
+    alikes: dict[int, list[tuple[float, int]]] = {}
+
+    def compare(codes: np.ndarray) -> None:
+        codes = np.array([c for c in np.unique(codes[codes >= 0]) if c not in alikes], dtype=np.int64)
+        alikes.update((int(c), []) for c in codes)
+        for x, y, r in zip(*alike(Names([a_names[c] for c in codes]), known, ratio), strict=True):
+            alikes[int(codes[x])].append((float(r), int(y)))
+
+    compare(a_code[lo == hi])
+    out = np.full(len(a_amount), -1)
+    for k in range(len(out)):
+        hit = none
+        if lo[k] < hi[k]:
+            near = slice(lo[k], hi[k])
+            hit = np.where(_near(amounts.sorted[near], a_amount[k], tolerance), free[near], none).min()
+        if hit == none and a_code[k] >= 0:
+            if a_code[k] not in alikes:
+                compare(a_code[k:])
+            best = (-1.0, 0)
+            for r, y in alikes[a_code[k]]:
+                while first[y] < last[y] and taken[order[first[y]]]:
+                    first[y] += 1
+                if first[y] < last[y]:
+                    best = max(best, (r, -int(order[first[y]])))
+            hit = -best[1] if best[0] >= 0 else none
+        if hit < none:
+            out[k] = hit
+            taken[hit] = True
+            if not np.isnan(r_amount[hit]):
+                free[position[hit]] = none
+    return out
 
 
 def supplement(loans: DataFrame, projects: DataFrame, years: int = 6) -> DataFrame:

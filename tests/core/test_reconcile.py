@@ -44,6 +44,16 @@ def test_absorb_equals_sequential(spark):
     assert got == _absorb(a, r)
 
 
+def test_absorb_of_equal_rows_and_blank_names(spark):
+    """Approvals that all want the same records are one pass, not a round each; names without a letter are compared too."""
+    a = [(k, ["Wind park", "::", "?!"][k % 3], "A", 2000, [None, 7.0][k % 2], k) for k in range(400)]
+    r = [(1000 + k, ["Wind park", "::", "Wind parks"][k % 3], "A", 2000, [7.0, None][k % 2], k) for k in range(400)]
+    schema = "id long, name string, country string, year int, amount double, ord long"
+    key = lambda rows: [(x[0], x[1].lower().strip(":?!"), *x[2:]) for x in rows]
+    got = {tuple(x) for x in reconcile.absorb(spark.createDataFrame(a, schema), spark.createDataFrame(r, schema)).collect()}
+    assert got == _absorb(key(a), key(r)) and len(got) > 300
+
+
 def test_fuzzy(spark):
     schema = "id long, name string, country string, year int, usd double"
     o = spark.createDataFrame([(1, "Northern Road Upgrade", "A", 2010, 100.0), (2, "Completely Different", "A", 2010, 50.0)], schema)
