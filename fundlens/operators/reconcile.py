@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlens.core.tables import materialize
-from fundlens.functions.alike import Names, alike
-from fundlens.functions.text import similarity_from, word_key
+from fundlens.functions.alike import Names, alike, ratios
+from fundlens.functions.text import word_key
 from fundlens.operators.ordered import first_by
 
 
@@ -84,6 +84,10 @@ def group_by_number(live: DataFrame, number: str, order: str = "ord", bank: str
     return grouped.unionByName(loose.select(*grouped.columns))
 
 
+#: Pairs of rows of a block that may be held at once; bounds memory only.
+_HELD = 1 << 20
+
+
 def _in_blocks(left: DataFrame, right: DataFrame, *order: Column) -> DataFrame:
     """The rows of both sides (``__side`` 0 and 1) block by block, each whole block in one partition."""
     both = left.withColumn("__side", F.lit(0)).unionByName(right.withColumn("__side", F.lit(1))).where("__block IS NOT NULL AND id IS NOT NULL")
@@ -139,6 +143,13 @@ def _near(theirs: np.ndarray, amount: np.ndarray | float, tolerance: float) -> n
         return np.abs(theirs - amount) <= amount * tolerance
 
 
+def _spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which, position) of every position of the ranges."""
+    n = hi - lo
+    which = np.repeat(np.arange(len(n)), n)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + lo[which]
+
+
 def _by_name(codes: np.ndarray, names: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows in the order of their names, and where the rows of each name begin and end there."""
     order = np.argsort(codes, kind="stable")
@@ -150,19 +161,47 @@ def fuzzy_pairs(official: DataFrame, live: DataFrame, *, ratio: float = 0.8, rat
     """Scored candidates (oid, lid, score, country): same country, years at most one apart.
 
     Both sides: id, name, country, year, usd.  Two names pass at ``ratio``, or at a lower one if the amounts
-    are within ``tolerance``.  Lengths, then the letters that both names have, bound the ratio, so most pairs are
-    ruled out before any comparison.
+    are within ``tolerance``.  Only pairs that pass leave a block of country and year; inside one the letters that both
+    names have, then their longest common subsequence, rule most pairs out, and amounts are looked up in order.
     """
-    o = official.select(F.col("id").alias("oid"), "country", F.explode(F.array("year", F.col("year") - 1, F.col("year") + 1)).alias("__y"), F.col("year").alias("oy"), word_key(F.col("name")).alias("on"), F.col("usd").alias("ou"))
-    n = live.select(F.col("id").alias("lid"), "country", F.col("year").alias("__y"), word_key(F.col("name")).alias("ln"), F.col("usd").alias("lu"))
-    close = F.coalesce(F.abs(F.col("lu") - F.col("ou")) <= F.col("ou") * tolerance, F.lit(False))
-    both = o.join(n, ["country", "__y"])
-    a, b = F.length("on"), F.length("ln")
-    possible = 2.0 * F.least(a, b) / (a + b) >= F.when(close, ratio_with_amount).otherwise(ratio)
-    scored = both.where(possible).withColumn("__close", close).withColumn("__r", similarity_from("on", "ln", F.when(close, ratio_with_amount).otherwise(ratio)))
-    kept = scored.where((F.col("__r") >= ratio) | (F.col("__close") & (F.col("__r") >= ratio_with_amount)))
-    score = F.col("__r") + 0.1 * F.col("__close").cast("int") - 0.01 * F.abs(F.col("__y") - F.col("oy"))
-    return kept.select("oid", "lid", "country", score.alias("score"))
+    side = lambda df, year, own: df.select(F.concat_ws("\u0001", "country", year.cast("string")).alias("__key"), "country", "id", word_key(F.col("name")).alias("name"), F.col("usd").cast("double").alias("usd"), year.alias("year"), own.alias("own"))
+    keyed = lambda df: df.withColumn("__block", F.when(F.col("country").isNotNull() & F.col("year").isNotNull(), F.col("__key"))).drop("__key")
+    near_years = official.withColumn("__own", F.col("year")).withColumn("year", F.explode(F.array("year", F.col("year") - 1, F.col("year") + 1)))
+    both = _in_blocks(keyed(side(near_years, F.col("year"), F.col("__own"))), keyed(side(live, F.col("year"), F.col("year"))))
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for o, n in _blocks(batches):
+            n_code, n_names = pd.factorize(n["name"])
+            amounts, known = _Amounts(n["usd"]), Names(list(n_names))
+            n_order, n_from, n_to = _by_name(n_code, len(n_names))
+            step = max(1, _HELD // len(n["id"]))
+            for lo in range(0, len(o["id"]), step):
+                part = {c: v[lo : lo + step] for c, v in o.items()}
+                o_code, o_names = pd.factorize(part["name"])
+                mine = Names(list(o_names))
+                o_order, o_from, o_to = _by_name(o_code, len(o_names))
+                x, y, r = alike(mine, known, ratio)
+                # the rows of both names
+                which, at = _spread(o_from[x], o_to[x])
+                left, y, r = o_order[at], y[which], r[which]
+                which, at = _spread(n_from[y], n_to[y])
+                left, right, r = left[which], n_order[at], r[which]
+                # rows with close amounts and less similar names
+                which, at = _spread(*amounts.near(part["usd"], tolerance))
+                at = amounts.places[at]
+                close = _near(n["usd"][at], part["usd"][which], tolerance) & (o_code[which] >= 0) & (n_code[at] >= 0)
+                which, at = which[close], at[close]
+                named, back = np.unique(o_code[which] * max(1, len(n_names)) + n_code[at], return_inverse=True)
+                less = ratios(mine, known, named // max(1, len(n_names)), named % max(1, len(n_names)), ratio_with_amount)[back]
+                less_left, less_right = (v[(less >= ratio_with_amount) & (less < ratio)] for v in (which, at))
+                r = np.r_[r, less[(less >= ratio_with_amount) & (less < ratio)]]
+                left, right = np.r_[left, less_left], np.r_[right, less_right]
+                close = _near(n["usd"][right], part["usd"][left], tolerance).astype(int)
+                score = r + 0.1 * close - 0.01 * np.abs(part["year"][left] - part["own"][left])
+                if len(r):
+                    yield pd.DataFrame({"oid": part["id"][left], "lid": n["id"][right], "country": part["country"][left], "score": score})
+
+    return both.mapInPandas(scored, "oid long, lid long, country string, score double")
 
 
 def assign(pairs: DataFrame, left: str, right: str, left_key: Column, right_key: Column) -> DataFrame:
@@ -185,10 +224,31 @@ def assign(pairs: DataFrame, left: str, right: str, left_key: Column, right_key:
         rest = materialize(rest.join(won.select(left), left, "left_anti").join(won.select(right), right, "left_anti"))
 
 
-def greedy_one_to_one(pairs: DataFrame) -> DataFrame:
-    """(oid, lid, score): the pairs that a greedy pass by score takes, ties by the smaller ids."""
-    key = F.struct("score", (-F.col("oid")).alias("o"), (-F.col("lid")).alias("l"))
-    return assign(pairs.select("oid", "lid", "score"), "oid", "lid", key, key)
+def greedy_one_to_one(pairs: DataFrame, block: str | None = None) -> DataFrame:
+    """(oid, lid, score): the pairs that a greedy pass by score takes, ties by the smaller ids.
+
+    Where no row has pairs in two values of ``block``, the pass goes through the sorted pairs of each value and holds
+    only the ids taken; else it is found in rounds.
+    """
+    if block is None:
+        key = F.struct("score", (-F.col("oid")).alias("o"), (-F.col("lid")).alias("l"))
+        return assign(pairs.select("oid", "lid", "score"), "oid", "lid", key, key)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, left, right = None, set(), set()
+        for b in batches:
+            stays = []
+            for where, o, n in zip(b[block].tolist(), b["oid"].tolist(), b["lid"].tolist(), strict=True):
+                if where != now:
+                    now, left, right = where, set(), set()
+                stays.append(o not in left and n not in right)
+                if stays[-1]:
+                    left.add(o)
+                    right.add(n)
+            yield b.loc[np.array(stays, dtype=bool), ["oid", "lid", "score"]]
+
+    inside = pairs.select(block, "oid", "lid", "score").repartition(block).sortWithinPartitions(block, F.desc("score"), "oid", "lid")
+    return inside.mapInPandas(run, "oid long, lid long, score double")
 
 
 def absorb(approvals: DataFrame, records: DataFrame, *, tolerance: float = 0.01, ratio: float = 0.8) -> DataFrame:

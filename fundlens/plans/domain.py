@@ -235,7 +235,7 @@ def extra_fields_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fuzzy_match_1to1(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = load(spark, sf_dir, "isdb_approvals").select(F.col("list_id").alias("id"), F.col("project_name").alias("name"), F.col("economy").alias("country"), F.col("approval_year").alias("year"), (F.col("us_million") * 1e6).alias("usd"))
     r = records(spark, sf_dir).where("loan_type <> 'Non-sovereign' OR loan_type IS NULL").select(F.col("row_id").alias("id"), F.col("project_name").alias("name"), "country", F.col("approval_year").alias("year"), F.col("loan_amount_usd").cast("double").alias("usd"))
-    return reconcile.greedy_one_to_one(reconcile.fuzzy_pairs(a, r))
+    return reconcile.greedy_one_to_one(reconcile.fuzzy_pairs(a, r), "country").select("lid", "oid", "score")
 
 
 def absorb_match(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,6 +61,27 @@ def test_fuzzy(spark):
     assert {(r["oid"], r["lid"]) for r in reconcile.fuzzy_pairs(o, n).collect()} == {(1, 11), (2, 13)}
 
 
+def test_fuzzy_pairs_and_pass_against_brute_force(spark):
+    rng = random.Random(4)
+    words = ["northern", "southern", "road", "roads", "upgrade", "school", "?!", "very long words of a name that says everything about what it is for"]
+    row = lambda k: (k, " ".join(rng.choice(words) for _ in range(rng.randint(1, 3))), rng.choice("AB"), rng.choice([2000, 2001, 2003, None]), rng.choice([None, 0.0, 100.0, 101.5, 200.0]))
+    o, n = [row(k) for k in range(80)], [row(1000 + k) for k in range(80)]
+    clean = lambda t: " ".join(t.replace("?!", " ").split())
+    want = {}
+    for a in o:
+        for b in n:
+            if a[2] == b[2] and a[3] and b[3] and abs(a[3] - b[3]) <= 1:
+                r = difflib.SequenceMatcher(None, clean(a[1]), clean(b[1])).ratio()
+                close = a[4] is not None and b[4] is not None and abs(b[4] - a[4]) <= a[4] * 0.02
+                if r >= 0.8 or (close and r >= 0.5):
+                    want[a[0], b[0]] = r + 0.1 * close - 0.01 * abs(b[3] - a[3])
+    schema = "id long, name string, country string, year int, usd double"
+    pairs = reconcile.fuzzy_pairs(spark.createDataFrame(o, schema), spark.createDataFrame(n, schema))
+    assert {(r["oid"], r["lid"]): r["score"] for r in pairs.collect()} == pytest.approx(want, abs=1e-12)
+    rounds = {(r["oid"], r["lid"]) for r in reconcile.greedy_one_to_one(pairs).collect()}
+    assert {(r["oid"], r["lid"]) for r in reconcile.greedy_one_to_one(pairs, "country").collect()} == rounds
+
+
 def test_theta_against_brute_force(spark):
     rng = random.Random(3)
     num = lambda n: "".join(rng.choice("0123") for _ in range(n))
