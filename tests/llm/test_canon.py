@@ -29,6 +29,27 @@ def test_values(spark):
     assert {k: v for k, v in got.items() if want.get(k) != v} == {} and len(got) == len(want)
 
 
+def test_names_without_a_word_of_their_own(spark):
+    """Every word of these names is in three entries; together they tell the entry, one alone tells none."""
+    ref = [(None, f"{a[0]}{b[0]}".upper(), f"{a} {b}", None) for a in ("Upper", "Lower", "Middle") for b in ("Karsia", "Torvia", "Dorvan")]
+    ref = spark.createDataFrame(ref, "iso2 string, iso3 string, country_name string, alt_names array<string>")
+    want = {"Upper Karsia": "UK", "Lower Trovia": "LT", "Dorvan (Middle)": "MD", "Karsia": "UNMATCHED", "Upper": "UNMATCHED"}
+    rows = spark.createDataFrame([(t,) for t in want], "country string")
+    assert {r["typed"]: r["canon_code"] for r in canon.map_values(rows, ref).collect()} == want
+
+
+def test_list_of_any_length(spark, monkeypatch):
+    """A list that is joined gives what a list that is sent to every task gives."""
+    many = [(f"X{k}", f"X{k}", f"{a} {b}", [f"Republic of {a} {b}"]) for k, (a, b) in enumerate((x + e, y) for x in ("kor", "vel", "mar", "tus") for e in ("ia", "an", "ova") for y in ("upper", "lower", "island"))]
+    ref = spark.createDataFrame([*REF, *many], "iso2 string, iso3 string, country_name string, alt_names array<string>")
+    typed = ["N. Karsia", "SOUH KARSIA", "torvia - capital area", "TRV", "trn - Torvinia", "DR Dorvan", "Rep. Dorvan", "MALUNA-BESAR", "Malu Bess", "C&ocirc;te d'Amarel", "Upper Sambe", "Global", "?", "koria upper", "lower velan", "Rep of marova islnd", "koria", "x" * 5000]
+    rows = spark.createDataFrame([(t,) for t in typed], "country string")
+    small = sorted(tuple(r) for r in canon.map_values(rows, ref).collect())
+    monkeypatch.setattr(canon, "MAX_ENTRIES", 20)
+    assert sorted(tuple(r) for r in canon.map_values(rows, ref).collect()) == small and len(small) == len(typed)
+    assert sum(r[1] != canon.UNMATCHED for r in small) > 12
+
+
 def test_empty(spark):
     assert _map(spark, []) == {}
 
