@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import difflib
 from collections import Counter
+from functools import cached_property
 
 import numpy as np
 
@@ -17,6 +18,8 @@ _ALL = np.uint64(2**64 - 1)
 _ONE = np.uint64(1)
 #: Pairs compared at once; bounds memory only.
 _CHUNK = 1 << 12
+#: So few pairs are compared one by one.
+_FEW = 6
 
 
 class Names:
@@ -30,17 +33,22 @@ class Names:
         table[np.frombuffer(SIGNS.encode(), dtype=np.uint8)] = np.arange(len(SIGNS))
         letters = np.frombuffer(b"".join(n.encode("ascii").ljust(width) for n in names), dtype=np.uint8).reshape(len(names), width)
         self.codes = np.where(np.arange(width) < self.length[:, None], table[letters], len(SIGNS)).astype(np.uint8)
-        self.counts = np.zeros((len(SIGNS) + 1, len(names)), dtype=np.uint8 if width < 256 else np.int32)
-        self.places = np.zeros((len(names), len(SIGNS) + 1), dtype=np.uint64)
-        every = np.arange(len(names))
-        for i in range(width):
-            there = every[i < self.length]
-            self.counts[self.codes[there, i], there] += 1
-            if i < _BITS:
-                self.places[there, self.codes[there, i]] |= _ONE << np.uint64(i)
-        self.places[:, -1] = 0
+        signs = len(SIGNS) + 1
+        self._cell = (self.codes + np.arange(len(names))[:, None] * signs).ravel()
+        counts = np.bincount(self._cell, minlength=len(names) * signs).reshape(len(names), signs)
+        self.counts = np.ascontiguousarray(counts.T).astype(np.uint8 if width < 256 else np.int32)
         self._least: dict[tuple[int, int], np.ndarray] = {}
 
+    @cached_property
+    def places(self) -> np.ndarray:
+        """The first 64 places of each letter of each name; each bit is added once."""
+        width = self.codes.shape[1]
+        half = [np.where((np.arange(width) >= lo) & (np.arange(width) < lo + 32), 2.0 ** (np.arange(width) % 32), 0.0) for lo in (0, 32)]
+        low, high = (np.bincount(self._cell, np.tile(h, len(self.names)), minlength=len(self.names) * (len(SIGNS) + 1)).astype(np.uint64) for h in half)
+        out = (low | (high << np.uint64(32))).reshape(len(self.names), len(SIGNS) + 1)
+        out[:, -1] = 0
+        return out
+
     def shared(self, code: int, times: int) -> np.ndarray:
         """How often each name has a letter, counted up to ``times``."""
         if (code, times) not in self._least:
@@ -133,9 +141,9 @@ def _long_ratio(x: str, y: str, least: float) -> float:
 def ratios(a: Names, b: Names, ia: np.ndarray, ib: np.ndarray, least: float) -> np.ndarray:
     """The ratio of each pair where it is ``least`` or more, else 0."""
     out = np.zeros(len(ia))
-    short = b.length[ib] <= _BITS
+    short = (b.length[ib] <= _BITS) & (len(ia) > _FEW)
     long = np.flatnonzero(~short)
-    turned = long[a.length[ia[long]] <= _BITS]  # a common subsequence is one from either side
+    turned = long[(a.length[ia[long]] <= _BITS) & (len(long) > _FEW)]  # a common subsequence is one from either side
     may = np.ones(len(ia), dtype=bool)
     for lo in range(0, len(turned), _CHUNK):
         at = turned[lo : lo + _CHUNK]
